@@ -19,9 +19,12 @@ def exact_revenue() -> Column:
 
 
 def with_revenue(orders: DataFrame) -> DataFrame:
-    """Adds ``revenue_exact`` and ``revenue``, the latter as stored: two decimals."""
+    """Adds ``revenue_exact`` and ``revenue``, the latter as stored: two decimals.
+
+    Binary noise is rounded off first, so that halves round as decimals do.
+    """
     return orders.withColumn("revenue_exact", exact_revenue()).withColumn(
-        "revenue", F.col("revenue_exact").cast("decimal(14,2)")
+        "revenue", F.round("revenue_exact", 6).cast("decimal(14,2)")
     )
 
 

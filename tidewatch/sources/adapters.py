@@ -104,3 +104,42 @@ def customer_event_kpis(spark: SparkSession, sf_dir: str, period: str = "day") -
         )
         .withColumn("period", F.lit(kpi.PERIOD_NAMES.get(period, period)))
     )
+
+
+def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with gaps, made from values in the data: unspecified priorities have no
+    payment method and no customer, the largest quantity has no price, deep
+    discounts on returned lines have no time."""
+    orders = raw_orders(spark, sf_dir)
+    unspecified = F.col("payment_method").startswith("4-")
+    untimed = (F.col("discount_pct") >= 9.5) & F.col("is_returned")
+    return orders.withColumns(
+        {
+            "customer_id": F.when(~unspecified, F.col("customer_id")),
+            "unit_price": F.when(F.col("quantity") < 50, F.col("unit_price")),
+            "order_ts": F.when(~untimed, F.col("order_ts")),
+            "payment_method": F.when(~unspecified, F.col("payment_method")),
+        }
+    )
+
+
+def order_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders seen as pipeline runs: a run starts with the order and ends with its last shipment."""
+    shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_shipdate").cast("timestamp").alias("shipped"), F.count(F.lit(1)).alias("lines")
+    )
+    status = F.when(F.col("o_orderstatus") == "F", "SUCCESS").when(F.col("o_orderstatus") == "O", "RUNNING").otherwise("FAILED")
+    return (
+        table(spark, sf_dir, "orders")
+        .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .select(
+            F.col("o_orderkey").alias("run_id"),
+            F.col("o_orderpriority").alias("pipeline_name"),
+            F.col("o_orderdate").cast("timestamp").alias("started_at"),
+            F.col("shipped").alias("finished_at"),
+            status.alias("status"),
+            F.coalesce("lines", F.lit(0)).alias("rows_ingested"),
+            # Order totals serve as run seconds.
+            (F.col("o_totalprice") / 1000).alias("seconds"),
+        )
+    )
