@@ -122,7 +122,7 @@ def extract_priority(text: str | Column) -> Column:
 def extract_action(text: str | Column, limit: int = 128) -> Column:
     """Rest of the first line that starts with ``1)`` or ``1.``, else the head of the text."""
     t = col(text)
-    marked = r"(?m)^[ \t]*1[).](.*)$"
+    marked = r"(?md)^[ \t]*1[).](.*)$"
     rest = F.substring(strip(F.regexp_extract(t, marked, 1)), 1, limit)
     return F.when(t.rlike(marked), rest).otherwise(strip(F.substring(t, 1, limit)))
 

@@ -209,8 +209,10 @@ def column_outliers(
                 z.alias("z_score"),
             )
         )
-    hits = F.filter(F.array(*cells), lambda e: F.abs(e["z_score"]) > 2.5)
-    return zs.select(region.alias("region"), F.explode(hits).alias("e")).select(
+    # Rows without any such cell go before the rest is turned long.
+    some = zs.where(F.greatest(*[F.abs(F.col(f"_z{i}")) for i in range(len(cols))], F.lit(0.0)) > 2.5)
+    long = some.select(region.alias("region"), F.explode(F.array(*cells)).alias("e"))
+    return long.where(F.abs(F.col("e.z_score")) > 2.5).select(
         "e.*",
         S.severity_csv("e.z_score").alias("severity"),
         "region",
