@@ -133,8 +133,10 @@ def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> Dat
 def causal_report(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Effect report: the five strongest anomalies, each metric once."""
     base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
-    revenue, returns = base.getField("total_revenue"), base.getField("return_rate")
-    top = _top_list(anomalies, by, 5)
+    # Lambdas cannot hold a subquery, so the baselines become columns first.
+    baselines = {"_revenue": base.getField("total_revenue"), "_returns": base.getField("return_rate")}
+    revenue, returns = F.col("_revenue"), F.col("_returns")
+    top = _top_list(anomalies, by, 5).withColumns(baselines)
     # Position of an element's metric in the list of metrics tells whether it is the first one.
     names = F.transform("top", lambda e: e["metric_name"])
     once = F.filter("top", lambda e, i: F.array_position(names, e["metric_name"]) == i + 1)

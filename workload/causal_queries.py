@@ -123,14 +123,37 @@ def backdoor_two_variables(spark, sf):
     return b.select(*BY, "n_samples", *r4("ate"))
 
 
-@query("backdoor_ate")
+def _adjusted(source: str, controls: list[str], x: str, y: str) -> str:
+    """CTE ``adj``: effect and error of x on y, each control swept out of the ones after it in turn."""
+    names = [*controls, x, y]
+    group = "partition by region, category"
+    steps = [f"r0 as (select region, category, {', '.join(f'{c} - avg({c}) over ({group}) as {c}' for c in names)} from {source})"]
+    for i, c in enumerate(controls):
+        rest = ", ".join(f"{v} - {c} * sum({c} * {v}) over ({group}) / sum({c} * {c}) over ({group}) as {v}" for v in names[i + 1 :])
+        steps.append(f"r{i + 1} as (select region, category, {rest} from r{i})")
+    k = len(names)
+    steps.append(f"""adj as (select region, category, count(*) as n_samples, sum({x} * {y}) / sum({x} * {x}) as ate,
+      sqrt((sum({y} * {y}) - sum({x} * {y}) * sum({x} * {y}) / sum({x} * {x})) / (count(*) - {k}) / sum({x} * {x})) as se
+      from r{len(controls)} group by 1, 2)""")
+    return ", ".join(steps)
+
+
+@query("backdoor_ate", f"""
+with {FEAT}, {_adjusted('features', ['order_count', 'avg_price', 'return_rate'], 'avg_discount', 'revenue')}
+select region, category, n_samples, {q.n4('ate')} as ate, {q.n4('se')} as se,
+       {q.n6('greatest(0, 1 - least(1, greatest(0, 2 * (1 - least(abs(ate / (se + 1e-9)) / 2, 0.999)))))')} as confidence,
+       'backdoor_linear_regression' as method from adj""")
 def backdoor_ate(spark, sf):
     """Effect of discount on revenue with the first three other features held fixed."""
     b = causal.backdoor_ate(features(spark, sf), "avg_discount", "revenue")
     return b.select(*BY, "n_samples", *r4("ate", "se"), *r6("confidence"), "method")
 
 
-@query("refute_random_cause")
+@query("refute_random_cause", f"""
+with {FEAT}, noisy as (select *, ('0x' || substr(md5(region || '|' || category || '|' || strftime(hour_bucket, '%Y-%m-%d %H:%M:%S') || '|42'), 1, 8))::bigint / 4294967296.0::double as random_cause from features),
+a as (with {_adjusted('noisy', ['order_count', 'avg_price', 'avg_discount'], 'avg_qty', 'revenue')} select * from adj),
+b as (with {_adjusted('noisy', ['order_count', 'avg_price', 'avg_discount', 'random_cause'], 'avg_qty', 'revenue')} select * from adj)
+select region, category, {q.n4('a.ate')} as ate, {q.n4('b.ate')} as new_effect from a join b using (region, category)""")
 def refute_random_cause(spark, sf):
     b = causal.refute_random_common_cause(features(spark, sf), "avg_qty", "revenue")
     return b.select(*BY, *r4("ate", "new_effect"))
