@@ -143,3 +143,38 @@ def order_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("o_totalprice") / 1000).alias("seconds"),
         )
     )
+
+
+def order_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines the way a spreadsheet export looks: untidy names, all cells text, gaps and junk."""
+    heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    lines = table(spark, sf_dir, "lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    price = F.concat(F.lit("$"), F.format_string("%,.2f", "l_extendedprice"))
+    return lines.select(
+        F.when(F.col("l_quantity") == 50, "n/a").otherwise(price).alias(" Unit Price "),
+        F.when(F.col("l_linenumber") != 7, F.col("l_quantity").cast("int").cast("string")).alias("Qty"),
+        F.concat(F.lit("€ "), F.format_string("%.2f", F.col("l_extendedprice") * 0.8)).alias("Cost$"),
+        F.format_string("%.2f", F.col("l_extendedprice") + 10).alias("Sales-Amount"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Order Date"),
+        F.when(~F.col("o_orderpriority").startswith("4-"), F.col("o_orderpriority")).alias("Region"),
+        F.when(F.col("l_tax") < 0.06, "std").otherwise("high").alias("Tax Band"),
+    )
+
+
+def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps of the dirty orders as drift records: one per missing customer, one per missing price."""
+    orders = raw_orders(spark, sf_dir)
+    dirty = orders.select(
+        "order_ts",
+        "is_returned",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.when(F.col("payment_method").startswith("4-"), F.lit("NULL_VIOLATION")),
+                    F.when(F.col("quantity") == 50, F.lit("TYPE_CHANGE")),
+                )
+            )
+        ).alias("drift_type"),
+    )
+    healed = (F.col("drift_type") == "NULL_VIOLATION") & F.col("is_returned")
+    return dirty.select(F.col("order_ts").alias("detected_at"), "drift_type", healed.alias("auto_healed"))
