@@ -27,3 +27,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark can reach."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
 from tidewatch.operators import windows
+from tidewatch.session import path_exists
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
@@ -68,14 +68,11 @@ def upsert_snapshots(
     only by the final copy, so a failed job leaves the old version readable.
     """
     incoming = incoming.withColumn(partition, F.to_date("snapshot_ts"))
-    try:
-        current = spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         once = merge_snapshots(incoming.limit(0), incoming, keys)
         once.write.mode("append").partitionBy(partition).parquet(path)
         return
+    current = spark.read.option("mergeSchema", "true").parquet(path)
     touched = incoming.select(partition).distinct()
     affected = current.join(touched, partition, "left_semi")
     staging = f"{path.rstrip('/')}__staging"

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -17,20 +16,12 @@ from tidewatch.functions import scalars as S
 from tidewatch.operators import anomaly as anomaly_ops
 from tidewatch.operators import kpi as kpi_ops
 from tidewatch.operators import windows
+from tidewatch.session import path_exists
 
 
 # -- (a) batch detector on each batch -------------------------------------------------
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def detect_batches(
     history_path: str, events_path: str, settings: Settings = Settings(), forest: bool = True
 ) -> Callable[[DataFrame, int], None]:
@@ -134,10 +125,9 @@ def recent_batches(path: str, n: int = 150, ts: str = "ts", ties: Sequence[str]
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         top = windows.keep_recent(batch, n, ts, ties)
-        if batch_id > 0:
-            old = _read_or_none(spark, f"{path}/version={batch_id - 1}")
-            if old is not None:
-                top = windows.keep_recent(top.unionByName(old), n, ts, ties)
+        before = f"{path}/version={batch_id - 1}"
+        if batch_id > 0 and path_exists(spark, before):
+            top = windows.keep_recent(top.unionByName(spark.read.parquet(before)), n, ts, ties)
         top.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return run
@@ -145,8 +135,8 @@ def recent_batches(path: str, n: int = 150, ts: str = "ts", ties: Sequence[str]
 
 def read_recent(spark: SparkSession, path: str) -> DataFrame | None:
     """Newest version of the bounded log."""
-    versions = _read_or_none(spark, path)
-    if versions is None:
+    if not path_exists(spark, path):
         return None
+    versions = spark.read.parquet(path)
     newest = versions.agg(F.max("version")).scalar()
     return versions.where(F.col("version") == newest).drop("version")

@@ -1 +1,120 @@
-"""To come."""
+"""Streaming forms, run over the tables as streams until their end, and the full cycle."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tidewatch.config import Settings
+from tidewatch.plans import cycle
+from tidewatch.sources import adapters, readers
+from tidewatch.streaming import anomalies as stream_anomalies
+from tidewatch.streaming import kpis
+from tidewatch.streaming.ingest import ingest_stream
+from tidewatch.streaming.run import drain_batches, drain_to_table, workspace
+from workload import fragments as q
+from workload.registry import query, r4, r6, ts
+
+
+def event_stream(spark, sf):
+    """The events table as a stream."""
+    schema = adapters.table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select(
+        "event_id", F.col("user_id").alias("customer_id"), "event_type", F.col("ts").cast("timestamp").alias("event_ts"),
+        F.col("props").alias("metadata"), "value",
+    )
+
+
+def event_orders(events):
+    """Events in the form of orders."""
+    return events.select(
+        F.col("event_ts").alias("order_ts"), F.lit("ALL").alias("region"), F.col("event_type").alias("category"),
+        F.lit(1.0).alias("quantity"), F.col("value").alias("unit_price"), F.lit(0.0).alias("discount_pct"),
+        (F.col("event_type") == "error").alias("is_returned"),
+    )
+
+
+@query("stream_ingest", """
+select event_type, count(*) as n, round(sum(value), 4) as value from events group by 1""")
+def stream_ingest(spark, sf):
+    """Events through JSON envelopes: encoded, read by topic, decoded."""
+    events = event_stream(spark, sf)
+    rows = ingest_stream(readers.encode_message(events, "events"), "events", events.schema)
+    table, _ = drain_to_table(rows, "stream_ingest")
+    return table.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
+@query("stream_kpis", f"""
+with w as (select date_trunc('hour', ts)::timestamp as snapshot_ts, event_type as category, 'ALL' as region, count(*) as total_orders, sum(value) as total_revenue,
+  avg(value) as avg_order_val, case when event_type = 'error' then 1.0::double else 0 end as return_rate from events where value > 0 group by 1, 2)
+select {q.ts('snapshot_ts')}, region, category, total_orders, {q.r4('total_revenue', 'avg_order_val', 'return_rate')} from w
+where snapshot_ts + interval 1 hour <= (select max(ts) from events) - interval 2 hour""")
+def stream_kpis(spark, sf):
+    """Hourly snapshots of all windows that the watermark has closed."""
+    table, _ = drain_to_table(kpis.kpi_stream(event_orders(event_stream(spark, sf))), "stream_kpis")
+    return table.select(ts("snapshot_ts"), "region", "category", "total_orders", *r4("total_revenue", "avg_order_val", "return_rate"))
+
+
+@query("stream_dedup", "select distinct user_id as customer_id, event_type from events")
+def stream_dedup(spark, sf):
+    """First event per customer and type within a delay longer than the data."""
+    events = event_stream(spark, sf).select("customer_id", "event_type", "event_ts")
+    table, _ = drain_to_table(kpis.dedup_stream(events, ["customer_id", "event_type"], "event_ts", "60 days"), "stream_dedup")
+    return table.select("customer_id", "event_type")
+
+
+@query("stream_recent", "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as event_ts from events order by ts desc, event_id limit 150")
+def stream_recent(spark, sf):
+    path = workspace(spark, "stream_recent_log")
+    events = event_stream(spark, sf)
+    drain_batches(events, "stream_recent", stream_anomalies.recent_batches(path, 150, "event_ts", ["event_id"]))
+    return stream_anomalies.read_recent(spark, path).select("event_id", ts("event_ts"))
+
+
+def kpi_rows(spark, sf, name):
+    """Event KPIs stored as files, to be read as a stream."""
+    path = workspace(spark, name)
+    k = adapters.event_kpis(spark, sf).select(
+        "snapshot_ts", "region", "category", "period", F.col("total_orders"), "total_revenue", "avg_order_val", F.lit(0.0).alias("return_rate")
+    )
+    k.write.parquet(path)
+    return spark.readStream.schema(k.schema).parquet(path)
+
+
+ZS = f"""with {q.EKPI}, {q.anomalies('ekpi', 3.0, ('total_revenue', 'avg_order_val', 'total_orders'))}
+select {q.ts('window_end')}, category, metric_name, {q.r4('metric_value', 'expected_value')}, {q.r6('z_score')}, severity from anom"""
+
+
+@query("stream_anomalies_by_batch", ZS)
+def stream_anomalies_by_batch(spark, sf):
+    """Rolling z in each batch over the stored history."""
+    base = workspace(spark, "stream_anomalies")
+    run = stream_anomalies.detect_batches(f"{base}/history", f"{base}/events", Settings(lookback_hours=24 * 60), forest=False)
+    drain_batches(kpi_rows(spark, sf, "kpi_source"), "stream_anomalies", run)
+    e = spark.read.parquet(f"{base}/events")
+    return e.select(ts("window_end"), "category", "metric_name", *r4("metric_value", "expected_value"), *r6("z_score"), "severity")
+
+
+@query("stream_anomalies_stateful", ZS)
+def stream_anomalies_stateful(spark, sf):
+    """Rolling z with the last rows of each series as state."""
+    metrics = ("total_revenue", "avg_order_val", "total_orders")
+    scored = stream_anomalies.stateful_anomalies(kpi_rows(spark, sf, "kpi_source"), metrics=metrics)
+    table, _ = drain_to_table(scored, "stream_stateful")
+    return table.select(
+        ts("snapshot_ts", "window_end"), "category", "metric_name", *r4("metric_value", "expected_value"), *r6("z_score"), "severity"
+    )
+
+
+@query("run_cycle")
+def run_cycle(spark, sf):
+    """One full cycle over all orders and events in monthly buckets."""
+    report = cycle.run_cycle(
+        spark, workspace(spark, "store"), adapters.raw_orders(spark, sf), adapters.raw_events(spark, sf), datetime(2001, 9, 1),
+        Settings(latest_hours=24 * 62), period="month", event_types=("purchase", "view"), lookback_hours=24 * 366 * 8,
+    )
+    return report.select(
+        F.col("ingestion.rows").alias("rows"), F.col("ingestion.status").alias("status"), "anomalies_found",
+        F.size("decisions").alias("decisions"), F.col("healing.drifts").alias("drifts"), F.col("healing.healed").alias("healed"),
+    )
