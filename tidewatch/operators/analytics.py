@@ -180,21 +180,27 @@ def kpi_baseline(kpi: DataFrame) -> DataFrame:
 
 
 def pearson(a: str, b: str) -> Column:
-    """Correlation over rows where both are present; NULL if either is constant."""
-    x, y = finite(a), finite(b)
+    """Correlation over rows where both are present; NULL if either is constant.
+
+    The columns must be free of NaN, see :func:`finite_columns`."""
+    x, y = F.col(a), F.col(b)
     both = x.isNotNull() & y.isNotNull()
     px, py = F.when(both, x), F.when(both, y)
     spread = F.stddev_samp(px) * F.stddev_samp(py)
     return F.covar_samp(px, py) / F.nullif(spread, F.lit(0.0))
 
 
+def finite_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[finite(c).alias(c) for c in columns])
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise correlations of up to eight columns as rows (x, y, r); each pair is computed once."""
     cols = list(columns)[:8]
     if len(cols) < 3:
         raise ValueError("a correlation matrix needs three numeric columns")
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = df.agg(*[pearson(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+    wide = finite_columns(df, cols).agg(*[pearson(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
     cells = []
     for i, x in enumerate(cols):
         for j, y in enumerate(cols):

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as fv
@@ -90,28 +90,32 @@ def row_key(by: Sequence[str]) -> Column:
     return F.concat_ws("|", *by, F.date_format("hour_bucket", "yyyy-MM-dd HH:mm:ss"))
 
 
-def bootstrap_se(
+def replicate_slopes(
     features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PAIRS, replicates: int = 200
 ) -> DataFrame:
-    """Standard error of each slope over weighted resamples of the buckets.
+    """Slope ``b<i>`` and size ``n<i>`` per group, pair and replicate; replicate -1 is the sample itself.
 
     Every bucket is repeated per replicate, but the weighted moments of all
     pairs are summed map-side, so groups x replicates rows cross the network.
-    Values are centred on the group's means first, which keeps the moments exact.
+    Values are centred on the group's means first, which keeps the moments
+    exact; a group has at most one row per bucket, which bounds that window.
     """
     chosen = available_pairs(features.columns, pairs)
     wide = features.select(*by, row_key(by).alias("_key"), *[c.alias(n) for n, c in _pair_columns(chosen).items()])
+    group = Window.partitionBy(*by)
     names = [f"{v}{i}" for i, *_ in chosen for v in "xy"]
-    means = wide.groupBy(*by).agg(*[F.avg(n).alias(f"_{n}") for n in names])
-    centred = wide.join(means, list(by)).select(*by, "_key", *[(F.col(n) - F.col(f"_{n}")).alias(n) for n in names])
-    reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep")
-    drawn = centred.select("*", reps).withColumn("w", replicate_weight(F.col("_key"), F.col("rep"))).where("w > 0")
+    centred = wide.select(*by, "_key", *[(F.col(n) - F.avg(n).over(group)).alias(n) for n in names])
+    # Few bytes become many rows below: spread them before, not after.
+    spread = centred.repartition(features.sparkSession.sparkContext.defaultParallelism, "_key")
+    reps = F.explode(F.sequence(F.lit(-1), F.lit(replicates - 1))).alias("rep")
+    weight = F.when(F.col("rep") < 0, F.lit(1)).otherwise(replicate_weight(F.col("_key"), F.col("rep")))
+    drawn = spread.select("*", reps).withColumn("w", weight).where("w > 0")
     w = F.col("w")
     sums = []
     for i, *_ in chosen:
         x, y = F.col(f"x{i}"), F.col(f"y{i}")
         sums += [
-            F.sum(F.when(x.isNotNull(), w)).cast("double").alias(f"w{i}"),
+            F.count(x).alias(f"n{i}"), F.sum(F.when(x.isNotNull(), w)).cast("double").alias(f"w{i}"),
             F.sum(w * x).alias(f"sx{i}"), F.sum(w * y).alias(f"sy{i}"),
             F.sum(w * x * x).alias(f"sxx{i}"), F.sum(w * x * y).alias(f"sxy{i}"),
         ]
@@ -124,7 +128,15 @@ def bootstrap_se(
         # A resample whose cause does not vary has slope 0.
         return F.when(n.isNotNull(), F.when(var > 1e-12 * F.col(f"sxx{i}"), cov / F.nullif(var, F.lit(0.0))).otherwise(0.0))
 
-    slopes = moments.select(*by, *[slope(i).alias(f"b{i}") for i, *_ in chosen])
+    return moments.select(*by, "rep", *[F.col(f"n{i}") for i, *_ in chosen], *[slope(i).alias(f"b{i}") for i, *_ in chosen])
+
+
+def bootstrap_se(
+    features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PAIRS, replicates: int = 200
+) -> DataFrame:
+    """Standard error of each slope over weighted resamples of the buckets."""
+    chosen = available_pairs(features.columns, pairs)
+    slopes = replicate_slopes(features, by, pairs, replicates).where("rep >= 0")
     errors = slopes.groupBy(*by).agg(*[F.stddev_pop(f"b{i}").alias(f"se{i}") for i, *_ in chosen])
     cells = [F.struct(F.lit(i).alias("pair_no"), F.col(f"se{i}").alias("se")) for i, *_ in chosen]
     return errors.select(*by, F.explode(F.array(*cells)).alias("p")).select(*by, "p.*")
@@ -137,13 +149,34 @@ def p_value(ate: Column, se: Column) -> Column:
 
 
 def ols_findings(features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PAIRS, settings: Settings = Settings()) -> DataFrame:
-    """Effect, error, p-value and confidence of every pair in every group."""
-    slopes = ols_ate(features, by, pairs)
-    errors = bootstrap_se(features, by, pairs, settings.bootstrap_replicates)
-    both = slopes.join(errors, [*by, "pair_no"], "left")
-    few = F.col("method") == "insufficient_data"
+    """Effect, error, p-value and confidence of every pair in every group, from one pass over the features."""
+    chosen = available_pairs(features.columns, pairs)
+    slopes = replicate_slopes(features, by, pairs, settings.bootstrap_replicates)
+    whole = F.col("rep") < 0
+    stats = []
+    for i, *_ in chosen:
+        stats += [
+            F.max(F.when(whole, F.col(f"n{i}"))).alias(f"n{i}"), F.max(F.when(whole, F.col(f"b{i}"))).alias(f"a{i}"),
+            F.stddev_pop(F.when(~whole, F.col(f"b{i}"))).alias(f"se{i}"),
+        ]
+    cells = [
+        F.struct(
+            F.lit(i).alias("pair_no"), F.lit(x).alias("cause_variable"), F.lit(y).alias("effect_variable"),
+            F.lit(why).alias("hypothesis"), F.coalesce(f"n{i}", F.lit(0)).alias("n_samples"),
+            F.col(f"a{i}").alias("slope"), F.col(f"se{i}").alias("se"),
+        )
+        for i, x, y, why in chosen
+    ]
+    both = slopes.groupBy(*by).agg(*stats).select(*by, F.explode(F.array(*cells)).alias("p")).select(*by, "p.*")
+    few = F.col("n_samples") < 5
+    out = both.withColumns(
+        {
+            "ate": F.when(few, 0.0).otherwise(F.coalesce("slope", F.lit(0.0))),
+            "method": F.when(few, "insufficient_data").otherwise("ols_bootstrap"),
+        }
+    ).drop("slope")
     p = F.when(few, F.lit(1.0)).otherwise(p_value(F.col("ate"), F.coalesce("se", F.lit(0.0))))
-    out = both.withColumn("p_value", p).withColumn("confidence", F.greatest(F.lit(0.0), 1 - F.col("p_value")))
+    out = out.withColumn("p_value", p).withColumn("confidence", F.greatest(F.lit(0.0), 1 - F.col("p_value")))
     note = F.when(few, F.lit("")).otherwise(F.concat(F.lit("Bootstrap SE="), X.num("se", "%.4f", 4)))
     return out.withColumn("refutation", note)
 
@@ -268,7 +301,8 @@ def attach_findings(anomalies: DataFrame, findings: DataFrame, by: Sequence[str]
 def correlation_impact(kpi: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Correlation of every other numeric column with the target, strongest first."""
     others = [c for c in (columns or analytics.numeric_columns(kpi)) if c != target]
-    wide = kpi.agg(*[analytics.pearson(c, target).alias(c) for c in others])
+    clean = analytics.finite_columns(kpi, [*others, target])
+    wide = clean.agg(*[analytics.pearson(c, target).alias(c) for c in others])
     return (
         wide.unpivot([], others, "cause_variable", "ate")
         .withColumns(

@@ -56,9 +56,24 @@ def _totals(anomalies: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def verdict(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Priority, counts and action per group: P1 with any CRITICAL, then HIGH, MEDIUM, else P4."""
+def _state(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts, top five and KPI baseline of every group in one row: all reports are written from it."""
     totals = _totals(anomalies, by)
+    top = _top_list(anomalies, by, 5)
+    joined = totals.join(top, list(by)) if by else _side_by_side(totals, top, ["top"])
+    base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
+    # Lambdas cannot hold a subquery, so the baselines become columns.
+    return joined.withColumns({f"_{m}": base.getField(m) for m in fv.BASELINE_METRICS})
+
+
+def _side_by_side(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns of a one-row frame beside another one-row frame."""
+    row = right.select(F.struct(*columns).alias("r")).scalar()
+    return left.select("*", *[row.getField(c).alias(c) for c in columns])
+
+
+def _judged(totals: DataFrame) -> DataFrame:
+    """Adds priority, verdict and final_action to the counts."""
     priority = (
         F.when(F.col("n_critical") > 0, "P1")
         .when(F.col("n_high") > 0, "P2")
@@ -67,41 +82,29 @@ def verdict(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
     quiet = F.col("n_anomalies") == 0
 
-    def worded(p: str, chosen: str | None) -> Column:
-        text = F.lit(fv.VERDICTS[p][1])
-        if chosen is None:
-            return text
+    def worded(p: str, chosen: str) -> Column:
         metric = F.coalesce(F.col(f"{chosen}.metric_name"), F.lit("metric"))
         place = F.coalesce(F.col(f"{chosen}.at_region"), F.lit("region"))
-        return F.replace(F.replace(text, F.lit("{metric}"), metric), F.lit("{region}"), place)
+        return F.replace(F.replace(F.lit(fv.VERDICTS[p][1]), F.lit("{metric}"), metric), F.lit("{region}"), place)
 
     p = F.col("priority")
     action = (
         F.when(quiet, F.lit(fv.VERDICTS["quiet"][1]))
         .when(p == "P1", worded("P1", "top_critical"))
         .when(p == "P2", worded("P2", "top_high"))
-        .when(p == "P3", worded("P3", None))
-        .otherwise(worded("P4", None))
+        .when(p == "P3", F.lit(fv.VERDICTS["P3"][1]))
+        .otherwise(F.lit(fv.VERDICTS["P4"][1]))
     )
     title = S.lookup(p, [(k, fv.VERDICTS[k][0]) for k in ("P1", "P2", "P3", "P4")])
     title = F.when(quiet, F.lit(fv.VERDICTS["quiet"][0])).otherwise(title)
-    return (
-        totals.withColumn("priority", priority)
-        .withColumn("verdict", title)
-        .withColumn("final_action", action)
-        .select(*by, "n_anomalies", "n_critical", "n_high", "n_medium", "max_z", "priority", "verdict", "final_action")
-    )
+    judged = totals.withColumn("priority", priority)
+    return judged.withColumn("verdict", title).withColumn("final_action", action)
 
 
-def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Detection report over the five strongest anomalies, with its confidence."""
-    base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
-    top = _top_list(anomalies, by, 5)
-    totals = _totals(anomalies, by).select(*by, "n_anomalies", "max_z")
-    joined = top.join(totals, list(by)) if by else _side_by_side(top, totals, ["n_anomalies", "max_z"])
+def _analyst_text() -> Column:
     rule = F.lit(X.RULE)
-    body = F.array_join(F.transform("top", lambda e, i: X.detection_lines(e, i + 1)), "\n")
     conf = S.confidence("max_z", fv.CONFIDENCE_ANALYST)
+    body = F.array_join(F.transform("top", lambda e, i: X.detection_lines(e, i + 1)), "\n")
     report = F.concat_ws(
         "\n",
         rule, F.lit("  ANOMALY EXPERT — DETECTION REPORT"), rule, F.lit(""), body,
@@ -111,7 +114,7 @@ def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> Dat
     )
 
     def zero(name: str) -> Column:
-        return F.coalesce(base.getField(name), F.lit(0.0))
+        return F.coalesce(F.col(f"_{name}"), F.lit(0.0))
 
     calm = F.concat_ws(
         "\n",
@@ -122,43 +125,27 @@ def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> Dat
         F.lit(""), F.lit("  System operating within normal parameters."),
         F.lit("  Recommendation: Continue standard monitoring."),
     )
+    return F.when(F.col("n_anomalies") > 0, report).otherwise(calm)
+
+
+def _analyst_confidence() -> Column:
     some = F.col("n_anomalies") > 0
-    return joined.select(
-        *by,
-        F.when(some, report).otherwise(calm).alias("analyst_output"),
-        F.when(some, conf).otherwise(F.lit(fv.CONFIDENCE_QUIET)).alias("confidence"),
-    )
+    return F.when(some, S.confidence("max_z", fv.CONFIDENCE_ANALYST)).otherwise(F.lit(fv.CONFIDENCE_QUIET))
 
 
-def causal_report(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Effect report: the five strongest anomalies, each metric once."""
-    base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
-    # Lambdas cannot hold a subquery, so the baselines become columns first.
-    baselines = {"_revenue": base.getField("total_revenue"), "_returns": base.getField("return_rate")}
-    revenue, returns = F.col("_revenue"), F.col("_returns")
-    top = _top_list(anomalies, by, 5).withColumns(baselines)
+def _causal_text() -> Column:
     # Position of an element's metric in the list of metrics tells whether it is the first one.
     names = F.transform("top", lambda e: e["metric_name"])
     once = F.filter("top", lambda e, i: F.array_position(names, e["metric_name"]) == i + 1)
     rule = F.lit(X.RULE)
     head = F.concat_ws("\n", rule, F.lit("  CAUSAL INFERENCE ENGINE — ATE ANALYSIS"), rule, F.lit(""))
-    body = F.array_join(F.transform(once, lambda e: X.cause_lines(e, revenue, returns)), "\n")
+    lines = F.transform(once, lambda e: X.cause_lines(e, F.col("_total_revenue"), F.col("_return_rate")))
+    full = F.concat_ws("\n", head, F.array_join(lines, "\n"), rule)
     none = F.concat_ws("\n", head, F.lit("  No anomalies to analyze. Causal chain not triggered."))
-    full = F.concat_ws("\n", head, body, rule)
-    return top.select(*by, F.when(F.size("top") > 0, full).otherwise(none).alias("causal_output"))
+    return F.when(F.size("top") > 0, full).otherwise(none)
 
 
-def council(kpi: DataFrame, anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Detection report, effect report and verdict as one record per group."""
-    first = analyst(anomalies, kpi, by)
-    second = causal_report(anomalies, kpi, by)
-    third = verdict(anomalies, by)
-    if by:
-        joined = first.join(second, list(by)).join(third, list(by))
-    else:
-        third = _side_by_side(third, first, ["analyst_output", "confidence"])
-        joined = _side_by_side(third, second, ["causal_output"])
-    quiet = F.col("n_anomalies") == 0
+def _decision_text() -> Column:
     rule = F.lit(X.RULE)
 
     def line(label: str, value: Column) -> Column:
@@ -179,13 +166,35 @@ def council(kpi: DataFrame, anomalies: DataFrame, by: Sequence[str] = ()) -> Dat
         F.lit("  PRIORITY : P4 (Routine)"), F.lit("  AGENTS   : 3/3 in agreement"), F.lit(""),
         F.lit("  System nominal. Continue standard ops."), rule,
     )
-    return joined.withColumn("decision_output", F.when(quiet, calm).otherwise(busy)).withColumn("completed", F.lit(True))
+    return F.when(F.col("n_anomalies") == 0, calm).otherwise(busy)
 
 
-def _side_by_side(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns of a one-row frame beside another one-row frame."""
-    row = right.select(F.struct(*columns).alias("r")).scalar()
-    return left.select("*", *[row.getField(c).alias(c) for c in columns])
+def verdict(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Priority, counts and action per group: P1 with any CRITICAL, then HIGH, MEDIUM, else P4."""
+    return _judged(_totals(anomalies, by)).select(
+        *by, "n_anomalies", "n_critical", "n_high", "n_medium", "max_z", "priority", "verdict", "final_action"
+    )
+
+
+def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Detection report over the five strongest anomalies, with its confidence."""
+    state = _state(anomalies, kpi, by)
+    return state.select(*by, _analyst_text().alias("analyst_output"), _analyst_confidence().alias("confidence"))
+
+
+def causal_report(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Effect report: the five strongest anomalies, each metric once."""
+    return _state(anomalies, kpi, by).select(*by, _causal_text().alias("causal_output"))
+
+
+def council(kpi: DataFrame, anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Detection report, effect report and verdict as one record per group."""
+    state = _judged(_state(anomalies, kpi, by)).withColumn("confidence", _analyst_confidence())
+    return state.select(
+        *by, "n_anomalies", "n_critical", "n_high", "n_medium", "max_z", "priority", "verdict", "final_action", "confidence",
+        _analyst_text().alias("analyst_output"), _causal_text().alias("causal_output"),
+        _decision_text().alias("decision_output"), F.lit(True).alias("completed"),
+    )
 
 
 # -- prompts and scripted agents -----------------------------------------------------------

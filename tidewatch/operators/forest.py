@@ -21,11 +21,12 @@ from tidewatch import fixed_values as fv
 from tidewatch.config import Settings
 from tidewatch.functions.scalars import finite
 from tidewatch.operators.quantiles import exact_quantiles
+from tidewatch.session import checkpoint_dir
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 EULER_GAMMA = 0.5772156649015329
-# Rows kept by the first thinning; 64-fold what the trees of a default forest need.
-THIN_ROWS = 3_000_000
+# Rows kept by the first thinning: several hundred times a tree's sample.
+THIN_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -125,7 +126,9 @@ def fit(
     nodes = samples.groupBy("tree").applyInPandas(_grower(features, settings.seed, sample), NODE_SCHEMA)
     found = [tuple(r) for r in nodes.orderBy("tree", "node").collect()]
     model = ForestModel(features, found, sample, settings.forest_trees, float("-inf"), n)
-    scores = rows.select(_score_column(model).alias("s"))
+    # Scored once and stored: the threshold takes several passes over the scores.
+    checkpoint_dir(df.sparkSession)
+    scores = rows.select(_score_column(model).alias("s")).checkpoint()
     threshold = exact_quantiles(scores, ["s"], settings.contamination)["s"]
     return ForestModel(features, found, sample, settings.forest_trees, threshold, n)
 

@@ -4,83 +4,124 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import finite
 
 # Up to this many candidate values an exact aggregate may hold them in one buffer.
-SMALL = 1_000_000
+SMALL = 20_000
 ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, small: int = SMALL) -> dict[str, float | None]:
     """Interpolated quantile per column, NULL, NaN and infinities left out.
 
-    One pass counts the values. Columns with at most ``small`` of them take the
-    built-in exact percentile. A larger column is narrowed: approximate
-    quantiles on both sides of the target give an interval, one pass counts the
-    values below and inside it, and the search goes on inside until the
-    interval is small. Only a few numbers per pass reach the driver.
+    All columns share each pass. The first pass counts the values and takes
+    approximate quantiles on both sides of the target. The next one counts the
+    values below and inside that interval, and so on until the interval holds at
+    most ``small`` values, which the built-in exact percentile then finishes.
+    Only a few numbers per pass reach the driver.
     """
     columns = list(columns)
     if not columns:
         return {}
-    values = df.select(*[finite(c).alias(c) for c in columns])
-    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    out: dict[str, float | None] = {c: None for c in columns}
-    direct = [c for c in columns if 0 < counts[c] <= small]
-    if direct:
-        row = values.agg(*[F.percentile(c, q).alias(c) for c in direct]).first().asDict()
-        out.update(row)
-    for c in columns:
-        if counts[c] > small:
-            out[c] = _narrow(values.select(F.col(c).alias("v")).where(F.col("v").isNotNull()), counts[c], q, small)
-    return out
+    names = [f"v{i}" for i in range(len(columns))]
+    values = df.select(*[finite(c).alias(v) for c, v in zip(columns, names)])
+    margin = 4.0 / ACCURACY
+    probes = [max(0.0, q - margin), min(1.0, q + margin)]
+    first = _row(values, {
+        v: F.struct(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.approx_percentile(v, probes, ACCURACY).alias("p"))
+        for v in names
+    })
+    searches = {v: _Search(r["n"], q, r["lo"], r["hi"], r["p"], small) for v, r in first.items() if r["n"]}
+    while True:
+        open_ones = {v: s for v, s in searches.items() if s.is_open()}
+        if not open_ones:
+            break
+        counted = _row(values, {v: s.counts(F.col(v)) for v, s in open_ones.items()})
+        for v, s in open_ones.items():
+            s.take(counted[v])
+        still = {v: s for v, s in open_ones.items() if s.is_open()}
+        if still:
+            cuts = _row(values, {v: s.cut(F.col(v)) for v, s in still.items()})
+            for v, s in still.items():
+                s.probe = tuple(cuts[v]["p"])
+    last = _row(values, {v: s.finish(F.col(v)) for v, s in searches.items()}) if searches else {}
+    return {c: searches[v].value(last[v]) if v in searches else None for c, v in zip(columns, names)}
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], small: int = SMALL) -> dict[str, float | None]:
     return exact_quantiles(df, columns, 0.5, small)
 
 
-def _narrow(values: DataFrame, n: int, q: float, small: int) -> float:
-    """Quantile of a non-null column ``v`` with ``n`` values."""
-    v = F.col("v")
-    position = (n - 1) * q
-    rank = int(position)
-    low = _value_at(values, n, rank, small)
-    up_to, following = values.agg(F.count_if(v <= low).alias("a"), F.min(F.when(v > low, v)).alias("b")).first()
-    high = low if up_to > rank + 1 or following is None else following
-    return low + (high - low) * (position - rank)
-
-
-def _value_at(values: DataFrame, n: int, rank: int, small: int) -> float:
-    """Value with ``rank`` values before it in sorted order."""
-    v = F.col("v")
-    lo, hi = values.agg(F.min(v).alias("a"), F.max(v).alias("b")).first()
-    below, inside = 0, n
-    while inside > small and lo < hi:
-        cut = values.where(v.between(lo, hi))
-        share = (rank - below) / (inside - 1)
+def _row(values: DataFrame, parts: dict[str, Column]) -> dict:
+    """One aggregation; each part is a struct."""
+    return values.agg(*[c.alias(v) for v, c in parts.items()]).first().asDict(recursive=True)
+
+
+class _Search:
+    """Interval [lo, hi] that holds the value at ``rank`` of one column, and how much is in it."""
+
+    def __init__(self, n: int, q: float, lo: float, hi: float, probe, small: int) -> None:
+        self.position = (n - 1) * q
+        self.rank = int(self.position)
+        self.n, self.lo, self.hi, self.below, self.inside = n, lo, hi, 0, n
+        self.probe = tuple(probe)
+        self.small = small
+
+    def is_open(self) -> bool:
+        return self.inside > self.small and self.lo < self.hi
+
+    def counts(self, v: Column) -> Column:
+        a, b = self.probe
+        middle = self.lo + (self.hi - self.lo) / 2
+        live = v.between(self.lo, self.hi)
+        left, right = live & (v <= middle), live & (v > middle)
+        return F.struct(
+            F.count_if(live & (v < a)).alias("under"), F.count_if(v.between(a, b)).alias("within"),
+            F.count_if(left).alias("left"), F.max(F.when(left, v)).alias("last"), F.min(F.when(right, v)).alias("next"),
+        )
+
+    def take(self, c: dict) -> None:
+        """Shrinks to the probed interval, or halves the value range where ties leave nothing to cut off."""
+        a, b = self.probe
+        if self.below + c["under"] <= self.rank < self.below + c["under"] + c["within"] and c["within"] < self.inside:
+            self.lo, self.hi, self.below, self.inside = a, b, self.below + c["under"], c["within"]
+        elif self.rank < self.below + c["left"]:
+            self.hi, self.inside = c["last"], c["left"]
+        else:
+            self.lo, self.below, self.inside = c["next"], self.below + c["left"], self.inside - c["left"]
+
+    def share(self) -> float:
+        return (self.rank - self.below) / max(self.inside - 1, 1)
+
+    def cut(self, v: Column) -> Column:
         margin = 4.0 / ACCURACY
-        spots = [max(0.0, share - margin), min(1.0, share + margin)]
-        a, b = cut.agg(F.approx_percentile("v", spots, ACCURACY).alias("p")).first()["p"]
-        under, within = cut.agg(F.count_if(v < a).alias("u"), F.count_if(v.between(a, b)).alias("w")).first()
-        if below + under <= rank < below + under + within and within < inside:
-            lo, hi, below, inside = a, b, below + under, within
-            continue
-        # Ties at both ends leave nothing to cut off: halve the value range instead.
-        middle = lo + (hi - lo) / 2
-        left, last, first = cut.agg(
-            F.count_if(v <= middle).alias("n"),
-            F.max(F.when(v <= middle, v)).alias("a"),
-            F.min(F.when(v > middle, v)).alias("b"),
-        ).first()
-        if rank < below + left:
-            hi, inside = last, left
+        spots = [max(0.0, self.share() - margin), min(1.0, self.share() + margin)]
+        live = F.when(v.between(self.lo, self.hi), v)
+        return F.struct(F.approx_percentile(live, spots, ACCURACY).alias("p"))
+
+    def finish(self, v: Column) -> Column:
+        """Value at the rank, and the next larger one with the count up to the interval's end."""
+        live = F.when(v.between(self.lo, self.hi), v)
+        # One value only: nothing to sort.
+        at = F.lit(self.lo) if self.lo == self.hi else F.percentile(live, self.share())
+        beyond = F.min(F.when(v > self.hi, v))
+        return F.struct(at.alias("at"), beyond.alias("beyond"), self._after(live).alias("after"))
+
+    def _after(self, live: Column) -> Column:
+        after = self.rank + 1 - self.below
+        if self.lo == self.hi or after > self.inside - 1:
+            return F.lit(None).cast("double")
+        return F.percentile(live, after / max(self.inside - 1, 1))
+
+    def value(self, r: dict) -> float:
+        low = r["at"]
+        if self.rank + 1 > self.n - 1:
+            return low
+        if self.rank + 1 < self.below + self.inside:
+            high = low if self.lo == self.hi else r["after"]
         else:
-            lo, below, inside = first, below + left, inside - left
-    if lo == hi:
-        return lo
-    kept = values.where(v.between(lo, hi))
-    return kept.agg(F.percentile("v", (rank - below) / (inside - 1)).alias("p")).first()["p"]
+            high = r["beyond"]
+        return low + (high - low) * (self.position - self.rank)
