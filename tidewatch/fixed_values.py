@@ -193,7 +193,7 @@ REVENUE_WORDS = ("revenue", "sales", "amount")
 KPI_REVENUE_WORDS = ("revenue", "sales", "amount", "total", "value", "auto_revenue")
 KPI_ORDER_WORDS = ("order", "count", "qty")
 # Characters dropped before a text cell is read as a number.
-NUMERIC_NOISE = r"[₹$€£,%\s]"
+NUMERIC_NOISE = "₹$€£,% \t\n\r\f\v"
 
 # Upper bounds of the run-duration histogram, in seconds.
 DURATION_BOUNDS = (1, 5, 10, 30, 60, 120, 300)

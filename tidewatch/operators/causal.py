@@ -76,10 +76,14 @@ def ols_ate(features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PAIRS)
     )
 
 
-def replicate_weight(row_key: Column, replicate: Column) -> Column:
-    """Poisson(1) weight of a row in a bootstrap replicate, from md5: the same on every engine."""
+def replicate_draw(row_key: Column, replicate: Column) -> Column:
+    """Uniform 32-bit number of a row in a replicate, from md5: the same on every engine."""
     head = F.substring(F.md5(F.concat_ws("|", row_key, replicate.cast("string"))), 1, 8)
-    u = F.conv(head, 16, 10).cast("bigint")
+    return F.conv(head, 16, 10).cast("bigint")
+
+
+def poisson_weight(u: Column) -> Column:
+    """Poisson(1) weight for a uniform 32-bit number."""
     weight = F.lit(0)
     for step in POISSON_STEPS:
         weight = weight + (u >= F.lit(step)).cast("int")
@@ -108,8 +112,9 @@ def replicate_slopes(
     # Few bytes become many rows below: spread them before, not after.
     spread = centred.repartition(features.sparkSession.sparkContext.defaultParallelism, "_key")
     reps = F.explode(F.sequence(F.lit(-1), F.lit(replicates - 1))).alias("rep")
-    weight = F.when(F.col("rep") < 0, F.lit(1)).otherwise(replicate_weight(F.col("_key"), F.col("rep")))
-    drawn = spread.select("*", reps).withColumn("w", weight).where("w > 0")
+    # The draw is a column of its own, so that it is computed once per row.
+    drawn = spread.select("*", reps).withColumn("_u", replicate_draw(F.col("_key"), F.col("rep")))
+    drawn = drawn.withColumn("w", F.when(F.col("rep") < 0, F.lit(1)).otherwise(poisson_weight(F.col("_u"))))
     w = F.col("w")
     sums = []
     for i, *_ in chosen:
@@ -122,7 +127,8 @@ def replicate_slopes(
     moments = drawn.groupBy(*by, "rep").agg(*sums)
 
     def slope(i: int) -> Column:
-        n, sx, sy = F.col(f"w{i}"), F.col(f"sx{i}"), F.col(f"sy{i}")
+        # No slope for a replicate that drew none of the rows.
+        n, sx, sy = F.nullif(F.col(f"w{i}"), F.lit(0.0)), F.col(f"sx{i}"), F.col(f"sy{i}")
         var = F.col(f"sxx{i}") - sx * sx / n
         cov = F.col(f"sxy{i}") - sx * sy / n
         # A resample whose cause does not vary has slope 0.

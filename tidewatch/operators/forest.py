@@ -71,6 +71,9 @@ def tree_samples(rows: DataFrame, features: Sequence[str], n: int, keys: Sequenc
         "_u", _unit(*[F.col(f"_k{i}") for i in range(len(keys))], F.lit(settings.seed + 1), F.col("tree"))
     )
     drawn = drawn.where(F.col("_u") < wanted)
+    # Growing costs far more than the few bytes of a sample suggest: one task per tree or core.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    drawn = drawn.repartition(min(settings.forest_trees, max(cores, 1)), "tree")
     ranked = drawn.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy("_u", *features)))
     return ranked.where(F.col("_r") <= psi).select("tree", "_r", *features)
 

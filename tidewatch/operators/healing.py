@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch import fixed_values as fv
 from tidewatch.operators import setops
@@ -220,7 +219,7 @@ def heal(
         else:
             ok = auto and (r["column_name"], r["drift_type"]) not in left
         log.append((*[r[c] for c in DRIFT_COLUMNS], auto and ok, ok, None if auto else "No auto-heal strategy"))
-    schema = T.StructType.fromDDL(
+    schema = (
         "table_name string, column_name string, drift_type string, old_definition string, "
         "new_definition string, auto_healed boolean, validated boolean, error string"
     )

@@ -41,20 +41,25 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def parse_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per text column: share of rows that read as a number, whether any digit occurs, share that reads as a time."""
+    """Per text column: share of rows that read as a number, whether any digit occurs,
+    share of rows that read as a time but not as a number."""
     columns = list(columns or _text_columns(df))
     n = F.count(F.lit(1))
+    # Numbers first, in their own projection: each cell is parsed once, and cells
+    # that are numbers are not tried as times.
+    parsed = df.select(*columns, *[S.clean_numeric(c).alias(f"_n{i}") for i, c in enumerate(columns)])
     parts = []
-    for c in columns:
+    for i, c in enumerate(columns):
+        time = F.when(F.col(f"_n{i}").isNull(), F.col(c).try_cast("timestamp"))
         parts.append(
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.try_divide(F.count(S.clean_numeric(c)), n).alias("numeric_rate"),
-                F.coalesce(F.max(F.col(c).rlike(r"\d")), F.lit(False)).alias("has_digit"),
-                F.try_divide(F.count(F.col(c).try_cast("timestamp")), n).alias("time_rate"),
+                F.try_divide(F.count(f"_n{i}"), n).alias("numeric_rate"),
+                F.coalesce(F.max(F.col(c).rlike("[0-9]")), F.lit(False)).alias("has_digit"),
+                F.try_divide(F.count(time), n).alias("time_rate"),
             ).alias(c)
         )
-    wide = df.agg(*parts)
+    wide = parsed.agg(*parts)
     return wide.select(F.explode(F.array(*columns)).alias("p")).select("p.*")
 
 

@@ -5,8 +5,31 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _type(name: str) -> T.DataType:
+    if name.startswith("decimal"):
+        precision, scale = name[8:-1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return _TYPES[name]
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from ``name type [not null], ...``; unlike Spark's own parser it needs no session."""
+    fields = []
+    for part in spec.split(", "):
+        name, kind, *rest = part.split()
+        fields.append(T.StructField(name, _type(kind), nullable=not rest))
+    return T.StructType(fields)
 
 
 TABLES: dict[str, T.StructType] = {

@@ -291,6 +291,8 @@ def detect(spark, sf):
 def ml_anomalies(spark, sf):
     """Table-wide forest over order lines after filling gaps with medians."""
     checkpoint_dir(spark)
-    o = adapters.dirty_orders(spark, sf).select("order_id", "product_id", "region", "category", "quantity", "unit_price", "discount_pct").checkpoint()
+    o = adapters.dirty_orders(spark, sf).select("order_id", "product_id", "region", "category", "quantity", "unit_price", "discount_pct")
+    # Scoring is bound by cores, not bytes: spread the rows before it.
+    o = adapters.spread(o).checkpoint()
     m = anomaly.ml_anomalies(o, ["quantity", "unit_price", "discount_pct"], ["order_id", "product_id", "quantity", "unit_price"])
     return m.groupBy("region", "category", "ml_anomaly").agg(F.count(F.lit(1)).alias("n"))
