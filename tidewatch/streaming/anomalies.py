@@ -65,7 +65,7 @@ def _scorer(metrics: tuple[str, ...], window: int, min_periods: int, threshold:
         seen, kept, last = 0, [], None
         if state.exists:
             seen, flat, last = state.get
-            kept = [list(r) for r in np.array(flat, dtype=float).reshape(-1, len(metrics))]
+            kept = np.array(flat, dtype=float).reshape(-1, len(metrics)).tolist()
         # One batch of one series; rollup rows, so at most one per bucket.
         new = pd.concat(list(batches)).sort_values("snapshot_ts")
         out = []
