@@ -117,7 +117,8 @@ def duration_histogram(runs: DataFrame, seconds: str = "seconds", bounds: Sequen
 def share_by(df: DataFrame, cat: str, val: str) -> DataFrame:
     """Sum per category and its share of the whole."""
     sums = df.groupBy(cat).agg(F.sum(val).alias("value"))
-    whole = df.agg(F.sum(val)).scalar()
+    # Summed from the sums: the scan and its shuffle are shared.
+    whole = sums.agg(F.sum("value")).scalar()
     return sums.withColumn("share", F.try_divide(F.col("value"), whole))
 
 

@@ -65,7 +65,9 @@ def rolling_z(
         w = Window.partitionBy(*GROUP).orderBy("_sec").rangeBetween(1 - n * 3600, top)
     else:
         w = rolling(n, include_current=include_current)
-    whole = Window.partitionBy(*GROUP)
+    # Ordered like the rolling window, so that both use one sort.
+    order = "_sec" if hours_range else "snapshot_ts"
+    whole = series(GROUP, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stats = {"_rows": F.count(F.lit(1)).over(whole)}
     for m in metrics:
         stats[f"_{m}_n"] = F.count(m).over(w)
@@ -92,8 +94,8 @@ def in_blocks(
 ) -> DataFrame:
     """Row-window columns over series too long for one task.
 
-    ``block`` cuts each series along its order into bounded runs (for example
-    ``date_trunc('day', ts)``). Rows are numbered from per-block counts, each
+    ``block`` cuts each series along its order into pieces that a task can sort,
+    whatever share of all rows the series holds (for example one per minute). Rows are numbered from per-block counts, each
     run of ``size`` numbers also receives the ``preceding`` rows before it, and
     the window runs per (series, run). Exact for any frame that looks back at
     most ``preceding`` rows. ``columns`` maps a name to a function of the window.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,6 @@ from tidewatch import fixed_values as fv
 from tidewatch.config import Settings
 from tidewatch.functions import scalars as S
 from tidewatch.operators import anomaly as anomaly_ops
-from tidewatch.operators import kpi as kpi_ops
 from tidewatch.operators import windows
 from tidewatch.session import path_exists
 
@@ -27,26 +27,35 @@ def detect_batches(
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: store the snapshots, detect on the recent hours, store the new events.
 
-    Both writes replace the folder of their batch id, so a batch that is run
-    again after a failure leaves the same result.
+    History is partitioned by date, so a batch reads only the days its look-back
+    touches. Both writes replace what the same batch id wrote before, so a batch
+    that is run again after a failure leaves the same result.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history_path}/batch={batch_id}")
-        stored = spark.read.option("basePath", history_path).parquet(history_path).where(F.col("batch") <= batch_id)
-        newest = stored.agg(F.max("snapshot_ts").alias("t")).first()["t"]
-        if newest is None:
+        oldest = batch.agg(F.min("snapshot_ts").alias("t")).first()["t"]
+        if oldest is None:
             return
+        dated = batch.withColumn("snapshot_date", F.to_date("snapshot_ts")).withColumn("batch", F.lit(batch_id))
+        (
+            dated.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("snapshot_date", "batch")
+            .parquet(history_path)
+        )
         # The look-back covers the window of every row of this batch.
-        oldest_new = stored.where(F.col("batch") == batch_id).agg(F.min("snapshot_ts").alias("t")).first()["t"]
-        recent = kpi_ops.lookback(stored, settings.lookback_hours, F.lit(min(newest, oldest_new or newest)))
+        start = oldest - timedelta(hours=settings.lookback_hours)
+        stored = spark.read.parquet(history_path).where(
+            (F.col("snapshot_date") >= F.lit(start.date())) & (F.col("snapshot_ts") >= F.lit(start)) & (F.col("batch") <= batch_id)
+        )
+        recent = stored.drop("batch", "snapshot_date")
         if forest:
-            events = anomaly_ops.detect(recent.drop("batch"), settings)
+            events = anomaly_ops.detect(recent, settings)
         else:
-            found = anomaly_ops.zscore_anomalies(recent.drop("batch"), settings)
+            found = anomaly_ops.zscore_anomalies(recent, settings)
             events = windows.assign_ids(found, ["region", "category", "metric_name", "window_end"])
-        fresh = events.where(F.col("window_end") >= F.lit(oldest_new)) if oldest_new is not None else events.limit(0)
+        fresh = events.where(F.col("window_end") >= F.lit(oldest))
         fresh.write.mode("overwrite").parquet(f"{events_path}/batch={batch_id}")
 
     return run
@@ -120,15 +129,22 @@ def stateful_anomalies(
 
 
 def recent_batches(path: str, n: int = 150, ts: str = "ts", ties: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that keeps the newest n rows; each batch writes a new version."""
+    """foreachBatch function that keeps the newest n rows.
+
+    Versions alternate between two folders: the one before stays readable while
+    the next is written, a repeated batch writes the same folder again, and
+    storage stays bounded.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         top = windows.keep_recent(batch, n, ts, ties)
-        before = f"{path}/version={batch_id - 1}"
+        before = f"{path}/slot={(batch_id + 1) % 2}"
         if batch_id > 0 and path_exists(spark, before):
-            top = windows.keep_recent(top.unionByName(spark.read.parquet(before)), n, ts, ties)
-        top.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+            old = spark.read.parquet(before).drop("version")
+            top = windows.keep_recent(top.unionByName(old), n, ts, ties)
+        versioned = top.withColumn("version", F.lit(batch_id))
+        versioned.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     return run
 
@@ -139,4 +155,4 @@ def read_recent(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     versions = spark.read.parquet(path)
     newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    return versions.where(F.col("version") == newest).drop("version", "slot")

@@ -389,7 +389,7 @@ def event_moving_average(spark, sf):
     out = windows.in_blocks(
         events,
         {"moving_avg": lambda w: F.avg("value").over(w), "in_window": lambda w: F.count(F.lit(1)).over(w)},
-        ["event_type"], ["event_ts", "event_id"], 23, F.date_trunc("hour", "event_ts"),
+        ["event_type"], ["event_ts", "event_id"], 23, F.date_trunc("minute", "event_ts"),
     )
     return out.select("event_id", *r6("moving_avg"), "in_window")
 
