@@ -167,10 +167,10 @@ def ml_anomalies(df: DataFrame, columns: Sequence[str], keys: Sequence[str], set
     usable = [c for c in columns if c in filled.columns]
     if not usable:
         return df.withColumn("ml_anomaly", F.lit(1))
-    model = forest.fit(filled, usable, settings, keys=keys, min_rows=1)
-    if model is None:
+    fitted = forest.fit_scored(filled, usable, settings, keys=keys, min_rows=1)
+    if fitted is None:
         return df.withColumn("ml_anomaly", F.lit(1))
-    scored = forest.score(filled, model)
+    scored = fitted[1]
     return scored.withColumn("ml_anomaly", F.when(F.col("is_anomaly"), -1).otherwise(1)).drop("is_anomaly")
 
 

@@ -21,7 +21,7 @@ from tidewatch import fixed_values as fv
 from tidewatch.config import Settings
 from tidewatch.functions.scalars import finite
 from tidewatch.operators.quantiles import exact_quantiles
-from tidewatch.session import checkpoint_dir
+from tidewatch.session import stored
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 EULER_GAMMA = 0.5772156649015329
@@ -118,8 +118,22 @@ def fit(
     min_rows: int | None = None,
 ) -> ForestModel | None:
     """Model on the complete rows of ``df``; None if there are too few of them."""
+    fitted = fit_scored(df, features, settings, keys, min_rows, keep=())
+    return None if fitted is None else fitted[0]
+
+
+def fit_scored(
+    df: DataFrame,
+    features: Sequence[str] = fv.FOREST_FEATURES,
+    settings: Settings = Settings(),
+    keys: Sequence[str] = ("snapshot_ts", "region", "category"),
+    min_rows: int | None = None,
+    keep: Sequence[str] | None = None,
+) -> tuple[ForestModel, DataFrame] | None:
+    """Model and its scored training rows. The rows are scored once and stored,
+    because the threshold takes several passes over the scores."""
     features = tuple(f for f in features if f in df.columns)
-    rows = _complete(df, features)
+    rows = _complete(df, features) if features else df
     n = rows.count()
     least = settings.forest_min_rows if min_rows is None else min_rows
     if n < least or not features:
@@ -129,11 +143,11 @@ def fit(
     nodes = samples.groupBy("tree").applyInPandas(_grower(features, settings.seed, sample), NODE_SCHEMA)
     found = [tuple(r) for r in nodes.orderBy("tree", "node").collect()]
     model = ForestModel(features, found, sample, settings.forest_trees, float("-inf"), n)
-    # Scored once and stored: the threshold takes several passes over the scores.
-    checkpoint_dir(df.sparkSession)
-    scores = rows.select(_score_column(model).alias("s")).checkpoint()
-    threshold = exact_quantiles(scores, ["s"], settings.contamination)["s"]
-    return ForestModel(features, found, sample, settings.forest_trees, threshold, n)
+    kept = df.columns if keep is None else list(keep)
+    scored = stored(rows.select(*kept, _score_column(model).alias("isolation_score")), "forest_scores")
+    threshold = exact_quantiles(scored, ["isolation_score"], settings.contamination)["isolation_score"]
+    model = ForestModel(features, found, sample, settings.forest_trees, threshold, n)
+    return model, scored.withColumn("is_anomaly", F.col("isolation_score") < F.lit(threshold))
 
 
 def _score_column(model: ForestModel) -> Column:

@@ -13,6 +13,7 @@ from tidewatch import fixed_values as fv
 from tidewatch.functions import scalars as S
 from tidewatch.operators import windows
 from tidewatch.operators.quantiles import exact_medians
+from tidewatch.session import stored
 
 
 @dataclass(frozen=True)
@@ -152,8 +153,13 @@ def infer_dataset_type(columns: Sequence[str]) -> str:
 
 
 def process(raw: DataFrame) -> tuple[DataFrame, Profile]:
-    """Typed, filled and extended table with its profile."""
+    """Typed, filled and extended table with its profile.
+
+    The typed cells are stored once; what follows reads them column by column
+    instead of parsing the text again.
+    """
     named, kinds = typed(normalize_columns(raw))
+    named = stored(named, "typed")
     df = derive_metrics(impute(named, kinds))
     return df, Profile(infer_dataset_type(df.columns), kinds, df.count(), len(df.columns))
 

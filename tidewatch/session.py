@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -33,3 +34,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system Spark can reach."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """New folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once as a columnar table in the shared folder.
+
+    For frames that cost much to compute and are scanned several times: later
+    scans read only the columns they need, and a lost executor loses nothing.
+    """
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

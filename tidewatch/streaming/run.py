@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.session import checkpoint_dir
-
-
-def workspace(spark: SparkSession, name: str) -> str:
-    """New folder below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+from tidewatch.session import workspace
 
 
 def drain_to_table(stream: DataFrame, name: str) -> tuple[DataFrame, StreamingQuery]:

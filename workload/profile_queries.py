@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import profile
+from tidewatch.session import stored
 from tidewatch.sources import adapters
 from workload import fragments as q
 from workload.registry import query, r4, ts
@@ -44,6 +45,7 @@ def csv_typed(spark, sf):
 @query("csv_imputed", f"with {FILLED} select {q.r4(*NUMS)}, {q.ts('order_date')}, region, tax_band from filled")
 def csv_imputed(spark, sf):
     df, kinds = typed(spark, sf)
+    df = stored(df, "typed")
     return profile.impute(df, kinds).select(*r4(*NUMS), ts("order_date"), "region", "tax_band")
 
 
@@ -51,6 +53,7 @@ def csv_imputed(spark, sf):
 with {FILLED} select {q.r4(*NUMS)}, {q.n4('unit_price * qty')} as auto_revenue, {q.n4('(sales_amount - cost) / nullif(sales_amount, 0)')} as auto_profit_margin from filled""")
 def csv_derived(spark, sf):
     df, kinds = typed(spark, sf)
+    df = stored(df, "typed")
     out = profile.derive_metrics(profile.impute(df, kinds))
     return out.select(*r4(*NUMS, "auto_revenue", "auto_profit_margin"))
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import Settings
 from tidewatch.plans import cycle
+from tidewatch.session import workspace
 from tidewatch.sources import adapters, readers
 from tidewatch.streaming import anomalies as stream_anomalies
 from tidewatch.streaming import kpis
 from tidewatch.streaming.ingest import ingest_stream
-from tidewatch.streaming.run import drain_batches, drain_to_table, workspace
+from tidewatch.streaming.run import drain_batches, drain_to_table
 from workload import fragments as q
 from workload.registry import query, r4, r6, ts
 
