@@ -12,8 +12,12 @@ RULE = "━" * 40
 
 
 def num(c: str | Column, fmt: str, digits: int) -> Column:
-    """Formatted number, rounded half-up before formatting so that engines agree."""
-    return F.format_string(fmt, F.round(col(c).cast("double"), digits))
+    """Formatted number, rounded half-up before formatting so that engines agree.
+
+    A negative number that rounds to zero keeps its sign."""
+    x = col(c).cast("double")
+    rounded = F.round(x, digits)
+    return F.format_string(fmt, F.when((rounded == 0) & (x < 0), F.lit(-0.0)).otherwise(rounded))
 
 
 def money(c: str | Column) -> Column:
