@@ -43,9 +43,9 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-WITH v AS (SELECT vec_id AS id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.id AS query_id, c.id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+WITH v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.id AS query_id, c.id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
       FROM v q JOIN v c ON q.id % 50 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
