@@ -21,6 +21,8 @@ _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 #: Shingles of one counting window; a shingle counts as common from so many documents of one window on; most common shingles that are broadcast.
 WINDOW, COMMON, COMMON_KEPT = 2_000_000, 3, 250_000
+#: Shingles that the longer prefixes of a pair must share; groups that a shingle may have to be paired one by one.
+SHARED, FEW = 6, 32
 #: Documents, and shingles, of one block of candidates that one task compares.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 4_000_000
 
@@ -78,9 +80,10 @@ def _common(docs: DataFrame, n: int, most: int = COMMON_KEPT) -> tuple[np.ndarra
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, key, prefix): set size, a digest of the set, and the set's first shingles, rare ones first.
+    """(doc_id, size, key, group, prefix): set size, digests of the set and of size and prefix, and the set's first shingles, rare ones first.
 
-    Two sets of the wanted similarity share a shingle among the first size - ceil(size * percent / 100) + 1 of each.
+    Two sets of the wanted similarity share SHARED shingles, or all that they have in common if those are fewer, among
+    the first size - ceil(size * percent / 100) + SHARED of each.
     """
     common = docs.sparkSession.sparkContext.broadcast(_common(docs, n))
 
@@ -88,10 +91,10 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
         hashes, counts = common.value
         for whole in batches:
             for batch in pieces(whole, "_text"):
-                sizes, keys, found, lengths = [], [], [], []
+                sizes, keys, groups, found = [], [], [], []
                 for text in batch.column("_text"):
                     own = shingle_set(text.as_py(), n)
-                    first = len(own) - -(-len(own) * percent // 100) + 1 if len(own) else 0
+                    first = len(own) - -(-len(own) * percent // 100) + SHARED
                     if len(own) and len(hashes):
                         at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
                         rank = np.where(hashes[at] == own, counts[at], 0)
@@ -100,12 +103,34 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         own_first = own[:first]
                     sizes.append(len(own))
                     keys.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
+                    groups.append(xxhash.xxh3_128_digest(own_first.tobytes(), seed=len(own)))
                     found.append(own_first)
-                    lengths.append(first)
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists(flat, lengths, pa.int64())], names=["doc_id", "size", "key", "prefix"])
+                columns = [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()), lists(flat, [len(x) for x in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "key", "group", "prefix"])
 
-    return stored(docs.mapInArrow(run, "doc_id long, size long, key binary, prefix array<long>"), "jaccard-prefixes")
+    return stored(docs.mapInArrow(run, "doc_id long, size long, key binary, group binary, prefix array<long>"), "jaccard-prefixes")
+
+
+def _candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between classes (id, size, group, prefix) such that linked classes are always connected.
+
+    Classes of one prefix and size are one group. Groups that share SHARED prefix shingles are a candidate pair; of a
+    shingle with few groups all pairs are counted, a shingle of many groups ties them to its smallest one instead, which
+    connects every pair that shares it. Within a group, members are tied to the smallest.
+    """
+    groups = classes.groupBy("group").agg(F.min("id").alias("gid"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    inside = classes.select("id", "group").join(groups.select("group", "gid"), "group").filter("id != gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
+    shingles = groups.select("gid", "size", F.explode("prefix").alias("shingle"))
+    shared = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("gid").alias("least")).filter("n > 1")
+    met = shingles.join(shared, "shingle")
+    tied = met.filter((F.col("n") > FEW) & (F.col("gid") != F.col("least"))).select(F.col("gid").alias("a"), F.col("least").alias("b"))
+    listed = met.filter(F.col("n") <= FEW).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "gid"))).alias("g"))
+    close = lambda x, y: x["size"] * 100 >= y["size"] * percent  # noqa: E731  sorted: y is the larger
+    pairs = F.transform("g", lambda y, i: F.transform(F.filter(F.slice("g", 1, i), lambda x: close(x, y)), lambda x: F.struct(x["gid"].alias("a"), y["gid"].alias("b"), y["size"].alias("size"))))
+    counted = listed.select(F.explode(F.flatten(pairs)).alias("p")).groupBy("p.a", "p.b", "p.size").count()
+    near = counted.filter(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))).select("a", "b")
+    return inside.unionByName(tied).unionByName(near)
 
 
 def _slot(column: str, bits: int):
@@ -189,18 +214,16 @@ def near_components(df: DataFrame, n: int = 5, percent: int = 80, doc_id: str =
     sets are one class. A row with a null doc_id takes part in no link and has a null component unless its class has
     other ids. An empty table gives an empty one. Only the two named columns are read.
 
-    Rows with the same set become one class with one prefix: copies cost one row each from here on. Classes that share a
-    prefix shingle are candidates; instead of pairs, each shingle links its classes to the smallest one, and connected
-    candidates are sent, each once, to the task that compares them. A group of candidates beyond a block is cut into
+    Rows with the same set become one class: copies cost one row each from here on. Classes with the same prefix and size
+    become one group, and groups that share enough prefix shingles are candidates. Connected candidates are expanded to
+    their members and sent, each once, to the task that compares them. A group of candidates beyond a block is cut into
     blocks, and pairs of blocks are compared, so no task grows with a group. Tasks return spanning forests of verified
     links, never all pairs; their components are the result. Sets are compared by 64-bit hashes of shingles.
     """
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), utf8(F.col(f"`{text}`")).alias("_text"))
     rows = _prefixes(docs, n, percent)
-    classes = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    shingles = classes.select("id", F.explode("prefix").alias("shingle"))
-    shared = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("least")).filter("n > 1")
-    touching = shingles.join(shared, "shingle").filter("id != least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+    classes = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("group").alias("group"), F.first("prefix").alias("prefix"))
+    touching = _candidates(classes, percent)
     groups = components(touching, "jaccard-candidates")
     members = stored(groups.join(_member_sets(docs, groups, n), "id"), "jaccard-members")
     cuts = members.groupBy("component_id").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
