@@ -20,9 +20,9 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 #: Shingles of one counting window; a shingle counts as common from so many documents of one window on; most common shingles that are broadcast.
-WINDOW, COMMON, COMMON_KEPT = 2_000_000, 3, 250_000
+WINDOW, COMMON, COMMON_KEPT = 4_000_000, 3, 1_000_000
 #: Shingles that the longer prefixes of a pair must share; groups that a shingle may have to be paired one by one.
-SHARED, FEW = 6, 32
+SHARED, FEW = 16, 32
 #: Documents, and shingles, of one block of candidates that one task compares.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 4_000_000
 
@@ -109,19 +109,20 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 columns = [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()), lists(flat, [len(x) for x in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "key", "group", "prefix"])
 
-    return stored(docs.mapInArrow(run, "doc_id long, size long, key binary, group binary, prefix array<long>"), "jaccard-prefixes")
+    marked = docs.mapInArrow(run, "doc_id long, size long, key binary, group binary, prefix array<long>")
+    return stored(marked.withColumn("row", F.monotonically_increasing_id()), "jaccard-prefixes")
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between classes (id, size, group, prefix) such that linked classes are always connected.
+def _candidates(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between classes (id, row, group) such that linked classes are always connected; `row` is where a class's prefix is found in `rows`.
 
     Classes of one prefix and size are one group. Groups that share SHARED prefix shingles are a candidate pair; of a
     shingle with few groups all pairs are counted, a shingle of many groups ties them to its smallest one instead, which
     connects every pair that shares it. Within a group, members are tied to the smallest.
     """
-    groups = classes.groupBy("group").agg(F.min("id").alias("gid"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    groups = classes.groupBy("group").agg(F.min(F.struct("id", "row")).alias("first")).select("group", F.col("first.id").alias("gid"), F.col("first.row").alias("row"))
     inside = classes.select("id", "group").join(groups.select("group", "gid"), "group").filter("id != gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
-    shingles = groups.select("gid", "size", F.explode("prefix").alias("shingle"))
+    shingles = rows.select("row", "size", "prefix").join(groups.select("gid", "row"), "row").select("gid", F.col("size").cast("int").alias("size"), F.explode("prefix").alias("shingle"))
     shared = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("gid").alias("least")).filter("n > 1")
     met = shingles.join(shared, "shingle")
     tied = met.filter((F.col("n") > FEW) & (F.col("gid") != F.col("least"))).select(F.col("gid").alias("a"), F.col("least").alias("b"))
@@ -222,16 +223,17 @@ def near_components(df: DataFrame, n: int = 5, percent: int = 80, doc_id: str =
     """
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), utf8(F.col(f"`{text}`")).alias("_text"))
     rows = _prefixes(docs, n, percent)
-    classes = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("group").alias("group"), F.first("prefix").alias("prefix"))
-    touching = _candidates(classes, percent)
+    classes = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "row", "size", "group")).alias("c")).select("key", "c.id", "c.row", "c.size", "c.group")
+    classes = stored(classes, "jaccard-classes")
+    touching = _candidates(rows, classes, percent)
     groups = components(touching, "jaccard-candidates")
-    members = stored(groups.join(_member_sets(docs, groups, n), "id"), "jaccard-members")
-    cuts = members.groupBy("component_id").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = members.join(cuts, "component_id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    sized = stored(groups.join(classes.select("id", "size"), "id"), "jaccard-groups")
+    cuts = sized.groupBy("component_id").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = sized.join(cuts, "component_id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = placed.withColumn("other", other).select("component_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "shingles")
+    cells = placed.withColumn("other", other).select("component_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id")
+    cells = cells.join(_member_sets(docs, groups, n), "id")
     links = cells.groupBy("component_id", "low", "high").applyInPandas(_joined(percent), "a long, b long")
     found = components(links, "jaccard-links")
-    named = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"))
-    final = named.join(found, "id", "left").select("key", F.coalesce("component_id", "id").alias("component_id"))
+    final = classes.select("key", "id").join(found, "id", "left").select("key", F.coalesce("component_id", "id").alias("component_id"))
     return rows.select("doc_id", "size", "key").join(final, "key", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
