@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Candidates of each kind. A candidate becomes a pseudonym only if it is valid (check digit, ranges, calendar).
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 PHONE = r"(?<![0-9A-Za-z.+-])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
-ABROAD = r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]\(?[0-9]{1,9}\)?){1,5}(?![0-9A-Za-z])"
+ABROAD = r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ -]\(?[0-9]{1,9}\)?(?![0-9]|\.[0-9])){1,4}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 DATE = r"(?<![0-9A-Za-z.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9A-Za-z-]|\.[0-9])"
 SSN = r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
