@@ -19,9 +19,10 @@ from tidewatch.session import stored
 #: Dimensions of the curve, bits of each, features that ids are hashed to.
 AXES, BITS, FEATURES = 3, 16, 1024
 _CHUNK = re.compile(r"[^ \t\n\v\f\r]+")
-#: Chunks of text whose ids a Python worker keeps. Bounds memory, not results.
-CHUNKS_KEPT = 250_000
-_KEPT: dict[str, dict[str, tuple[int, ...]]] = {}
+_MARKS = ".,;:!?"
+#: Chunks of text whose ids a Python worker keeps in each of two generations. Bounds memory, not results.
+CHUNKS_KEPT = 400_000
+_KEPT: dict[str, tuple[dict[str, tuple[int, ...]], dict[str, tuple[int, ...]]]] = {}
 
 
 @lru_cache(maxsize=2)
@@ -34,25 +35,48 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+def _parts(chunk: str) -> tuple[str, ...]:
+    """A chunk in the form in which it is remembered: ASCII in lower case, marks after a letter or digit apart; both give the same ids."""
+    low = chunk.lower() if chunk.isascii() else chunk
+    core = low.rstrip(_MARKS)
+    return (core, low[len(core) :]) if core != low and core and core[-1].isalnum() else (low,)
+
+
 def encode_texts(values: list[str], path: str) -> list[np.ndarray]:
-    """Ids of texts by a tokenizer for which white space only separates: chunks between blanks are encoded once and remembered."""
-    tokenizer, kept = _tokenizer(path), _KEPT.setdefault(path, {})
-    if len(kept) > CHUNKS_KEPT:
-        kept.clear()
-    out = []
+    """Ids of texts by a tokenizer that lower-cases, and for which white space only separates: chunks between blanks are encoded once and remembered.
+
+    Chunks met since the last change of generation are kept with those of the generation before.
+    """
+    tokenizer = _tokenizer(path)
+    young, old = _KEPT.get(path, ({}, {}))
+    if len(young) > CHUNKS_KEPT:
+        young, old = {}, young
+    _KEPT[path] = young, old
+    split, new = [], {}
     for text in values:
-        chunks = _CHUNK.findall(text)
-        new = list(dict.fromkeys(c for c in chunks if c not in kept))
-        now: dict[str, tuple[int, ...]] = {}
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            now.update((c, tuple(e.ids)) for c, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
+        parts: list[str] = []
+        for chunk in _CHUNK.findall(text):
+            if chunk in young:
+                parts.append(chunk)
+                continue
+            for part in _parts(chunk):
+                if part not in young and part not in new:
+                    if part in old:
+                        young[part] = old[part]
+                    else:
+                        new[part] = ()
+                parts.append(part)
+        split.append(parts)
+    unknown = list(new)
+    for start in range(0, len(unknown), 20_000):
+        part = unknown[start : start + 20_000]
+        new.update((c, tuple(e.ids)) for c, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
+    young.update((c, ids) for c, ids in new.items() if len(c) <= 64)
+    out = []
+    for parts in split:
         flat: list[int] = []
-        for c in chunks:
-            flat += kept[c] if c in kept else now[c]
-        kept.update((c, ids) for c, ids in now.items() if len(c) <= 64)
-        if len(kept) > CHUNKS_KEPT:
-            kept.clear()
+        for part in parts:
+            flat += young[part] if part in young else new[part]
         out.append(np.array(flat, dtype=np.int64))
     return out
 
