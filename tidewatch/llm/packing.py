@@ -21,8 +21,8 @@ AXES, BITS, FEATURES = 3, 16, 1024
 _CHUNK = re.compile(r"[^ \t\n\v\f\r]+")
 _MARKS = ".,;:!?"
 #: Chunks of text whose ids a Python worker keeps in each of two generations. Bounds memory, not results.
-CHUNKS_KEPT = 400_000
-_KEPT: dict[str, tuple[dict[str, tuple[int, ...]], dict[str, tuple[int, ...]]]] = {}
+CHUNKS_KEPT = 600_000
+_KEPT: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
 @lru_cache(maxsize=2)
@@ -64,20 +64,17 @@ def encode_texts(values: list[str], path: str) -> list[np.ndarray]:
                     if part in old:
                         young[part] = old[part]
                     else:
-                        new[part] = ()
+                        new[part] = b""
                 parts.append(part)
         split.append(parts)
     unknown = list(new)
     for start in range(0, len(unknown), 20_000):
         part = unknown[start : start + 20_000]
-        new.update((c, tuple(e.ids)) for c, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
+        new.update((c, np.array(e.ids, dtype=np.uint32).tobytes()) for c, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
     young.update((c, ids) for c, ids in new.items() if len(c) <= 64)
     out = []
     for parts in split:
-        flat: list[int] = []
-        for part in parts:
-            flat += young[part] if part in young else new[part]
-        out.append(np.array(flat, dtype=np.int64))
+        out.append(np.frombuffer(b"".join([young[p] if p in young else new[p] for p in parts]), dtype=np.uint32).astype(np.int64))
     return out
 
 
