@@ -128,8 +128,8 @@ def severity_distribution(df: DataFrame, column: str = "severity") -> DataFrame:
 
 
 def mean_by(df: DataFrame, cat: str, metrics: Sequence[str]) -> DataFrame:
-    """Mean of up to three metrics per category."""
-    return df.where(F.col(cat).isNotNull()).groupBy(cat).agg(*[F.avg(m).alias(m) for m in list(metrics)[:3]])
+    """Mean of each metric per category."""
+    return df.where(F.col(cat).isNotNull()).groupBy(cat).agg(*[F.avg(m).alias(m) for m in metrics])
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -140,7 +140,7 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
 
 def trend(df: DataFrame, ts: str, cat: str, metrics: Sequence[str]) -> DataFrame:
     kept = df.where(F.col(ts).isNotNull() & F.col(cat).isNotNull())
-    return kept.groupBy(ts, cat).agg(*[F.avg(m).alias(m) for m in list(metrics)[:2]])
+    return kept.groupBy(ts, cat).agg(*[F.avg(m).alias(m) for m in metrics])
 
 
 def pivot_revenue(df: DataFrame, regions: Sequence[str], value: str = "total_revenue") -> DataFrame:
@@ -196,8 +196,8 @@ def finite_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise correlations of up to eight columns as rows (x, y, r); each pair is computed once."""
-    cols = list(columns)[:8]
+    """Pairwise correlations of the columns as rows (x, y, r); each pair is computed once."""
+    cols = list(columns)
     if len(cols) < 3:
         raise ValueError("a correlation matrix needs three numeric columns")
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]

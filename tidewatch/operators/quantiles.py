@@ -75,7 +75,9 @@ class _Search:
 
     def counts(self, v: Column) -> Column:
         a, b = self.probe
-        middle = self.lo + (self.hi - self.lo) / 2
+        # Halves before adding, so that the sum cannot overflow; between neighbouring doubles the lower one cuts.
+        middle = self.lo / 2 + self.hi / 2
+        middle = middle if self.lo <= middle < self.hi else self.lo
         live = v.between(self.lo, self.hi)
         left, right = live & (v <= middle), live & (v > middle)
         return F.struct(

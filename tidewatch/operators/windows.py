@@ -105,7 +105,9 @@ def in_blocks(
     sizes = df.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    joined = df.join(offsets, [*keys, "_block"])
+    named = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*keys, "_block"])], "_offset")
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*keys, "_block"])]
+    joined = df.join(named, same).drop(*[f"_k{i}" for i in range(len(keys) + 1)])
     inside = Window.partitionBy(*keys, "_block").orderBy(*order)
     numbered = joined.withColumn("_pos", F.col("_offset") + F.row_number().over(inside) - 1)
     size = max(10_000, 4 * preceding)

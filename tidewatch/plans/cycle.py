@@ -107,7 +107,7 @@ def run_cycle(
         sinks.append(sinks.finish_run(spark, run_id, pipeline, status, now, now, rows, n_anomalies, error), runs)
         return out
     except Exception as failure:
-        sinks.append(sinks.finish_run(spark, run_id, pipeline, "FAILED", now, now, 0, 0, str(failure)[:1000]), runs)
+        sinks.append(sinks.finish_run(spark, run_id, pipeline, "FAILED", now, now, 0, 0, str(failure)), runs)
         raise
 
 
