@@ -23,6 +23,7 @@ class Settings:
     latest_hours: int = 2
     bootstrap_replicates: int = 200
     debate_rounds: int = 2
-    decisions_per_cycle: int = 3
+    # None: every anomaly gets a cause and a decision.
+    decisions_per_cycle: int | None = None
     batch_size: int = 1000
     interval_seconds: int = 60

@@ -103,9 +103,10 @@ def raw_orders_suite(
     categories: Sequence[str] = fv.ORDER_CATEGORIES,
     regions: Sequence[str] = fv.ORDER_REGIONS,
     payments: Sequence[str] = fv.PAYMENT_METHODS,
+    most_rows: int = 10_000_000,
 ) -> list[Expectation]:
     return [
-        expect_row_count_between(1, 10_000_000),
+        expect_row_count_between(1, most_rows),
         expect_no_nulls("customer_id"),
         expect_no_nulls("order_ts"),
         expect_no_nulls("unit_price"),
@@ -120,9 +121,9 @@ def raw_orders_suite(
     ]
 
 
-def kpi_snapshots_suite(now: datetime | Column, periods: Sequence[str] = fv.KPI_PERIODS) -> list[Expectation]:
+def kpi_snapshots_suite(now: datetime | Column, periods: Sequence[str] = fv.KPI_PERIODS, most_rows: int = 5_000_000) -> list[Expectation]:
     return [
-        expect_row_count_between(1, 5_000_000),
+        expect_row_count_between(1, most_rows),
         expect_no_nulls("snapshot_ts"),
         expect_no_nulls("total_revenue"),
         expect_column_between("return_rate", 0, 1),

@@ -28,9 +28,9 @@ def findings_for(orders: DataFrame, events: DataFrame | None, period: str = "hou
 
 
 def decide(anomalies: DataFrame, findings: DataFrame, settings: Settings = Settings(), limit: int | None = None) -> DataFrame:
-    """Decision records of the strongest anomalies, each with its cause."""
+    """Decision records of all anomalies, or of the ``limit`` strongest, each with its cause."""
     n = settings.decisions_per_cycle if limit is None else limit
-    top = windows.top_abs(anomalies, "z_score", n, ("metric_name", "region", "category"))
+    top = anomalies if n is None else windows.top_abs(anomalies, "z_score", n, ("metric_name", "region", "category"))
     joined = causal.attach_findings(top.withColumn("detected_at", F.col("window_end")), findings)
     return decisions.scripted_findings(joined, settings)
 

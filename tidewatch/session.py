@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,13 +18,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage and staging writes.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where nothing is set
-    (tests, a laptop) a fresh temporary folder is taken.
+    A cluster names it in ``spark.checkpoint.dir``; without it there is no folder
+    that all executors see, which is an error. Only in local mode (tests, a
+    laptop), where nothing is set, a fresh temporary folder is taken.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if path is None:
+        if current is None and not re.match(r"local(\[[^-]*)?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = current or tempfile.mkdtemp(prefix="tidewatch-checkpoint-")
     if current is None:
         sc.setCheckpointDir(path)
