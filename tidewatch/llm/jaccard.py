@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import components, lists, pieces, utf8
@@ -21,8 +21,10 @@ _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 #: Shingles of one counting window; a shingle counts as common from so many documents of one window on; most common shingles that are broadcast.
 WINDOW, COMMON, COMMON_KEPT = 4_000_000, 3, 1_000_000
-#: Shingles that the longer prefixes of a pair must share; groups that a shingle may have to be paired one by one.
-SHARED, FEW = 16, 32
+#: Signatures that the prefixes of a pair must share; groups that a signature may have to be paired one by one.
+SHARED, FEW = 4, 32
+#: From this percentage on, a signature is two shingles that follow each other in the common order, below it one shingle.
+PAIRED = 75
 #: Documents, and shingles, of one block of candidates that one task compares.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 4_000_000
 
@@ -79,12 +81,40 @@ def _common(docs: DataFrame, n: int, most: int = COMMON_KEPT) -> tuple[np.ndarra
     return hashes[order], n[order]
 
 
-def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, key, group, prefix): set size, digests of the set and of size and prefix, and the set's first shingles, rare ones first.
+def _width(percent: int) -> int:
+    """Shingles of a signature. Two only where different sets of the wanted similarity are sure to share a signature."""
+    return 2 if percent >= PAIRED else 1
+
+
+def _prefix_length(size: int, percent: int) -> int:
+    """Signatures of a prefix. At most `own` shingles of a set of this size are missing in a partner, and at most `apart` are in one of both sets only.
 
-    Two sets of the wanted similarity share SHARED shingles, or all that they have in common if those are fewer, among
-    the first size - ceil(size * percent / 100) + SHARED of each.
+    Common shingles in order are neighbours in both sets unless one of the `apart` lies between, so each of those spoils
+    at most one signature of two. Of the first SHARED + apart common signatures SHARED are left, and `own` is how much
+    later they may come in the set.
     """
+    own, apart = size - -(-size * percent // 100), (100 - percent) * size // percent
+    return own + (_width(percent) - 1) * apart + SHARED
+
+
+def _needed(larger: Column, percent: int) -> Column:
+    """Signatures that the prefixes of two different linked sets share at least, by the size of the larger one."""
+    more = _width(percent) - 1
+    return F.greatest(F.lit(1), F.least(F.lit(SHARED), F.ceil(larger * (percent - more * (100 - percent)) / 100) - more))
+
+
+def _signatures(ordered: np.ndarray, percent: int) -> np.ndarray:
+    """Signatures of shingles in the common order: the shingles, or hashes of each two neighbours."""
+    if _width(percent) == 1:
+        return ordered
+    mixed = (ordered[:-1] * _ODD) ^ ordered[1:]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= _MIX
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, size, key, group, prefix): set size, digests of the set and of size and prefix, and the set's first signatures, rare shingles first."""
     common = docs.sparkSession.sparkContext.broadcast(_common(docs, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +124,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 sizes, keys, groups, found = [], [], [], []
                 for text in batch.column("_text"):
                     own = shingle_set(text.as_py(), n)
-                    first = len(own) - -(-len(own) * percent // 100) + SHARED
+                    first = _prefix_length(len(own), percent) + _width(percent) - 1
                     if len(own) and len(hashes):
                         at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
                         rank = np.where(hashes[at] == own, counts[at], 0)
@@ -104,7 +134,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     sizes.append(len(own))
                     keys.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                     groups.append(xxhash.xxh3_128_digest(own_first.tobytes(), seed=len(own)))
-                    found.append(own_first)
+                    found.append(_signatures(own_first, percent))
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
                 columns = [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()), lists(flat, [len(x) for x in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "key", "group", "prefix"])
@@ -116,51 +146,83 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def _candidates(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between classes (id, row, group) such that linked classes are always connected; `row` is where a class's prefix is found in `rows`.
 
-    Classes of one prefix and size are one group. Groups that share SHARED prefix shingles are a candidate pair; of a
-    shingle with few groups all pairs are counted, a shingle of many groups ties them to its smallest one instead, which
+    Classes of one prefix and size are one group. Groups that share enough prefix signatures are a candidate pair; of a
+    signature with few groups all pairs are counted, one of many groups ties them to its smallest one instead, which
     connects every pair that shares it. Within a group, members are tied to the smallest.
     """
     groups = classes.groupBy("group").agg(F.min(F.struct("id", "row")).alias("first")).select("group", F.col("first.id").alias("gid"), F.col("first.row").alias("row"))
     inside = classes.select("id", "group").join(groups.select("group", "gid"), "group").filter("id != gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
-    shingles = rows.select("row", "size", "prefix").join(groups.select("gid", "row"), "row").select("gid", F.col("size").cast("int").alias("size"), F.explode("prefix").alias("shingle"))
-    shared = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("gid").alias("least")).filter("n > 1")
-    met = shingles.join(shared, "shingle")
+    prefixes = stored(rows.select("row", "size", "prefix").join(groups.select("gid", "row"), "row").select("gid", F.col("size").cast("int").alias("size"), "prefix"), "jaccard-groups-prefixes")
+    counted = prefixes.select("gid", F.explode("prefix").alias("sign")).groupBy("sign").agg(F.count("*").alias("n"), F.min("gid").alias("least"))
+    shared = stored(counted.filter("n > 1"), "jaccard-shared")
+    met = _shared_signatures(prefixes, shared).join(shared, "sign")
     tied = met.filter((F.col("n") > FEW) & (F.col("gid") != F.col("least"))).select(F.col("gid").alias("a"), F.col("least").alias("b"))
-    listed = met.filter(F.col("n") <= FEW).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("size", "gid"))).alias("g"))
+    listed = met.filter(F.col("n") <= FEW).groupBy("sign").agg(F.sort_array(F.collect_list(F.struct("size", "gid"))).alias("g"))
     close = lambda x, y: x["size"] * 100 >= y["size"] * percent  # noqa: E731  sorted: y is the larger
     pairs = F.transform("g", lambda y, i: F.transform(F.filter(F.slice("g", 1, i), lambda x: close(x, y)), lambda x: F.struct(x["gid"].alias("a"), y["gid"].alias("b"), y["size"].alias("size"))))
-    counted = listed.select(F.explode(F.flatten(pairs)).alias("p")).groupBy("p.a", "p.b", "p.size").count()
-    near = counted.filter(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))).select("a", "b")
+    together = listed.select(F.explode(F.flatten(pairs)).alias("p")).groupBy("p.a", "p.b", "p.size").count()
+    near = together.filter(F.col("count") >= _needed(F.col("size"), percent)).select("a", "b")
     return inside.unionByName(tied).unionByName(near)
 
 
-def _slot(column: str, bits: int):
-    """Place of an id in the bitmap, from 1 on, as Spark numbers bits."""
-    return (F.pmod(F.xxhash64(column), F.lit(bits)) + 1).alias("_slot")
+def _slot(place: Column, bits: int) -> Column:
+    """Place in the bitmap, from 1 on, as Spark numbers bits."""
+    return (F.pmod(place, F.lit(bits)) + 1).alias("_slot")
 
 
-def _member_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, shingles) of the documents in `ids`. A bitmap of hashed ids, of at most 16 MB, keeps the texts of most others from being read twice."""
-    bits = 1 << 15
-    while bits < 8 * ids.count() and bits < 1 << 27:
+def _bitmap(places: DataFrame) -> tuple[np.ndarray, int]:
+    """(bitmap, bits) of the hashes in the only column. It has at most 16 MB, so it may hold more than these, never less."""
+    bits, place = 1 << 15, F.col(places.columns[0])
+    n = places.count()
+    while bits < 8 * n and bits < 1 << 27:
         bits *= 2
-    maps = ids.select(_slot("id", bits)).groupBy(F.bitmap_bucket_number("_slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("map")).collect()
+    maps = places.select(_slot(place, bits)).groupBy(F.bitmap_bucket_number("_slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("map")).collect()
     packed = np.zeros(bits >> 3, dtype=np.uint8)
     for row in maps:
         packed[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(bytes(row.map), dtype=np.uint8)
+    return packed, bits
+
+
+def _held(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Whether the bitmap holds each slot, counted from 0."""
+    return ((bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _shared_signatures(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(gid, size, sign) of the prefixes' signatures, without most of those that are not in `shared`, so that few are shuffled once more."""
+    packed, bits = _bitmap(shared.select("sign"))
+    wanted = prefixes.sparkSession.sparkContext.broadcast(packed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                prefix = batch.column("prefix")
+                sign = prefix.flatten().to_numpy(zero_copy_only=False)
+                keep = _held(wanted.value, sign & np.int64(bits - 1))
+                lengths = np.diff(prefix.offsets.to_numpy())
+                owner = np.repeat(np.arange(batch.num_rows), lengths)[keep]
+                gid, size = (batch.column(c).to_numpy(zero_copy_only=False)[owner] for c in ("gid", "size"))
+                yield pa.RecordBatch.from_arrays([pa.array(gid), pa.array(size), pa.array(sign[keep])], names=["gid", "size", "sign"])
+
+    return prefixes.mapInArrow(run, "gid long, size int, sign long")
+
+
+def _member_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, shingles) of the documents in `ids`. A bitmap of hashed ids keeps the texts of most others from being read twice."""
+    packed, bits = _bitmap(ids.select(F.xxhash64("id").alias("place")))
     wanted = docs.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = wanted.value
         for whole in batches:
             slots = whole.column("_slot").to_numpy(zero_copy_only=False) - 1
-            keep = (bitmap[(slots >> 3).astype(np.int64)] >> (slots & 7).astype(np.uint8)) & 1
-            for batch in pieces(whole.filter(pa.array(keep.astype(bool))), "_text"):
+            for batch in pieces(whole.filter(pa.array(_held(bitmap, slots))), "_text"):
                 found = [shingle_set(t.as_py(), n) for t in batch.column("_text")]
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("_id"), lists(flat, [len(x) for x in found], pa.int64())], names=["id", "shingles"])
 
-    return docs.filter(F.col("_id").isNotNull()).withColumn("_slot", _slot("_id", bits)).mapInArrow(run, "id long, shingles array<long>")
+    return docs.filter(F.col("_id").isNotNull()).withColumn("_slot", _slot(F.xxhash64("_id"), bits)).mapInArrow(run, "id long, shingles array<long>")
 
 
 def _joined(percent: int):
@@ -216,7 +278,7 @@ def near_components(df: DataFrame, n: int = 5, percent: int = 80, doc_id: str =
     other ids. An empty table gives an empty one. Only the two named columns are read.
 
     Rows with the same set become one class: copies cost one row each from here on. Classes with the same prefix and size
-    become one group, and groups that share enough prefix shingles are candidates. Connected candidates are expanded to
+    become one group, and groups that share enough signatures of their prefixes are candidates. Connected candidates are expanded to
     their members and sent, each once, to the task that compares them. A group of candidates beyond a block is cut into
     blocks, and pairs of blocks are compared, so no task grows with a group. Tasks return spanning forests of verified
     links, never all pairs; their components are the result. Sets are compared by 64-bit hashes of shingles.
