@@ -27,6 +27,8 @@ SHARED, FEW = 4, 32
 PAIRED = 75
 #: Documents, and shingles, of one block of candidates that one task compares.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 4_000_000
+#: Bits of a broadcast bitmap, 16 MB. It tells up to an eighth as many rows apart well.
+MOST_BITS = 1 << 27
 
 
 def shingle_set(text: bytes, n: int) -> np.ndarray:
@@ -114,7 +116,7 @@ def _signatures(ordered: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, key, group, prefix): set size, digests of the set and of size and prefix, and the set's first signatures, rare shingles first."""
+    """(doc_id, size, key, gid, prefix, row): set size, digest of the set, hash of size and prefix, and the set's first signatures, rare shingles first."""
     common = docs.sparkSession.sparkContext.broadcast(_common(docs, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,30 +135,34 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         own_first = own[:first]
                     sizes.append(len(own))
                     keys.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
-                    groups.append(xxhash.xxh3_128_digest(own_first.tobytes(), seed=len(own)))
+                    groups.append(xxhash.xxh3_64_intdigest(own_first.tobytes(), seed=len(own)))
                     found.append(_signatures(own_first, percent))
                 flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                columns = [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()), lists(flat, [len(x) for x in found], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "key", "group", "prefix"])
+                columns = [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(np.array(groups, dtype=np.uint64).view(np.int64)), lists(flat, [len(x) for x in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "key", "gid", "prefix"])
 
-    marked = docs.mapInArrow(run, "doc_id long, size long, key binary, group binary, prefix array<long>")
+    marked = docs.mapInArrow(run, "doc_id long, size long, key binary, gid long, prefix array<long>")
     return stored(marked.withColumn("row", F.monotonically_increasing_id()), "jaccard-prefixes")
 
 
 def _candidates(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between classes (id, row, group) such that linked classes are always connected; `row` is where a class's prefix is found in `rows`.
+    """Edges (a, b) between groups such that groups with linked classes are always connected; classes have (gid, row), `row` is where a class is found in `rows`.
 
-    Classes of one prefix and size are one group. Groups that share enough prefix signatures are a candidate pair; of a
-    signature with few groups all pairs are counted, one of many groups ties them to its smallest one instead, which
-    connects every pair that shares it. Within a group, members are tied to the smallest.
+    Classes of one prefix and size are one group, named by a hash. Groups that share enough prefix signatures are a
+    candidate pair; of a signature with few groups all pairs are counted, one of many groups is a node of its own that
+    they are tied to, which connects every pair that shares it. A group of several classes is tied to a node of its own
+    too, so that it is found among the edges. Names that collide, and a group that is met more than once, only add candidates.
     """
-    groups = classes.groupBy("group").agg(F.min(F.struct("id", "row")).alias("first")).select("group", F.col("first.id").alias("gid"), F.col("first.row").alias("row"))
-    inside = classes.select("id", "group").join(groups.select("group", "gid"), "group").filter("id != gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
-    prefixes = stored(rows.select("row", "size", "prefix").join(groups.select("gid", "row"), "row").select("gid", F.col("size").cast("int").alias("size"), "prefix"), "jaccard-groups-prefixes")
-    counted = prefixes.select("gid", F.explode("prefix").alias("sign")).groupBy("sign").agg(F.count("*").alias("n"), F.min("gid").alias("least"))
+    groups = stored(classes.groupBy("gid").agg(F.min("row").alias("row"), F.count("*").alias("classes")), "jaccard-first")
+    inside = groups.filter("classes > 1").select(F.col("gid").alias("a"), F.xxhash64("gid").alias("b"))
+    chosen, firsts = rows.filter("key is not null and doc_id is not null").select("row", "gid", F.col("size").cast("int").alias("size"), "prefix"), groups.select(F.xxhash64("row").alias("place"))
+    if 8 * firsts.count() > MOST_BITS:
+        chosen = stored(chosen.join(groups.select("row"), "row", "left_semi"), "jaccard-groups-prefixes")
+    first = _bitmap(firsts)
+    counted = _signatures_of(chosen, first).groupBy("sign").agg(F.count("*").alias("n"))
     shared = stored(counted.filter("n > 1"), "jaccard-shared")
-    met = _shared_signatures(prefixes, shared).join(shared, "sign")
-    tied = met.filter((F.col("n") > FEW) & (F.col("gid") != F.col("least"))).select(F.col("gid").alias("a"), F.col("least").alias("b"))
+    met = _signatures_of(chosen, first, _bitmap(shared.select("sign"))).join(shared, "sign")
+    tied = met.filter(F.col("n") > FEW).select(F.col("gid").alias("a"), F.col("sign").alias("b"))
     listed = met.filter(F.col("n") <= FEW).groupBy("sign").agg(F.sort_array(F.collect_list(F.struct("size", "gid"))).alias("g"))
     close = lambda x, y: x["size"] * 100 >= y["size"] * percent  # noqa: E731  sorted: y is the larger
     pairs = F.transform("g", lambda y, i: F.transform(F.filter(F.slice("g", 1, i), lambda x: close(x, y)), lambda x: F.struct(x["gid"].alias("a"), y["gid"].alias("b"), y["size"].alias("size"))))
@@ -171,10 +177,10 @@ def _slot(place: Column, bits: int) -> Column:
 
 
 def _bitmap(places: DataFrame) -> tuple[np.ndarray, int]:
-    """(bitmap, bits) of the hashes in the only column. It has at most 16 MB, so it may hold more than these, never less."""
+    """(bitmap, bits) of the hashes in the only column. It has MOST_BITS at most, so it may hold more than these, never less."""
     bits, place = 1 << 15, F.col(places.columns[0])
     n = places.count()
-    while bits < 8 * n and bits < 1 << 27:
+    while bits < 8 * n and bits < MOST_BITS:
         bits *= 2
     maps = places.select(_slot(place, bits)).groupBy(F.bitmap_bucket_number("_slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("map")).collect()
     packed = np.zeros(bits >> 3, dtype=np.uint8)
@@ -188,50 +194,51 @@ def _held(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def _shared_signatures(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
-    """(gid, size, sign) of the prefixes' signatures, without most of those that are not in `shared`, so that few are shuffled once more."""
-    packed, bits = _bitmap(shared.select("sign"))
-    wanted = prefixes.sparkSession.sparkContext.broadcast(packed)
+def _signatures_of(chosen: DataFrame, first: tuple[np.ndarray, int], shared: tuple[np.ndarray, int] | None = None) -> DataFrame:
+    """(sign) of the prefixes of the rows that the bitmap `first` holds; with `shared`, (gid, size, sign) of those signatures that it holds, so that few are shuffled once more."""
+    bits = first[1]
+    maps = chosen.sparkSession.sparkContext.broadcast((first[0], shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, wanted = maps.value
         for whole in batches:
+            whole = whole.filter(pa.array(_held(rows, whole.column("_slot").to_numpy(zero_copy_only=False) - 1)))
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 prefix = batch.column("prefix")
                 sign = prefix.flatten().to_numpy(zero_copy_only=False)
-                keep = _held(wanted.value, sign & np.int64(bits - 1))
-                lengths = np.diff(prefix.offsets.to_numpy())
-                owner = np.repeat(np.arange(batch.num_rows), lengths)[keep]
+                if wanted is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(sign)], names=["sign"])
+                    continue
+                keep = _held(wanted[0], sign & np.int64(wanted[1] - 1))
+                owner = np.repeat(np.arange(batch.num_rows), np.diff(prefix.offsets.to_numpy()))[keep]
                 gid, size = (batch.column(c).to_numpy(zero_copy_only=False)[owner] for c in ("gid", "size"))
                 yield pa.RecordBatch.from_arrays([pa.array(gid), pa.array(size), pa.array(sign[keep])], names=["gid", "size", "sign"])
 
-    return prefixes.mapInArrow(run, "gid long, size int, sign long")
+    placed = chosen.select("gid", "size", "prefix", _slot(F.xxhash64("row"), bits))
+    return placed.mapInArrow(run, "sign long" if shared is None else "gid long, size int, sign long")
 
 
-def _member_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, shingles) of the documents in `ids`. A bitmap of hashed ids keeps the texts of most others from being read twice."""
+def _member_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, body) of the documents in `ids`. A bitmap of hashed ids keeps most others out of the shuffle."""
     packed, bits = _bitmap(ids.select(F.xxhash64("id").alias("place")))
     wanted = docs.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = wanted.value
-        for whole in batches:
-            slots = whole.column("_slot").to_numpy(zero_copy_only=False) - 1
-            for batch in pieces(whole.filter(pa.array(_held(bitmap, slots))), "_text"):
-                found = [shingle_set(t.as_py(), n) for t in batch.column("_text")]
-                flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("_id"), lists(flat, [len(x) for x in found], pa.int64())], names=["id", "shingles"])
+        for batch in batches:
+            kept = batch.filter(pa.array(_held(wanted.value, batch.column("_slot").to_numpy(zero_copy_only=False) - 1)))
+            yield pa.RecordBatch.from_arrays([kept.column("_id"), kept.column("_text")], names=["id", "body"])
 
-    return docs.filter(F.col("_id").isNotNull()).withColumn("_slot", _slot(F.xxhash64("_id"), bits)).mapInArrow(run, "id long, shingles array<long>")
+    return docs.filter(F.col("_id").isNotNull()).withColumn("_slot", _slot(F.xxhash64("_id"), bits)).mapInArrow(run, "id long, body binary")
 
 
-def _joined(percent: int):
+def _joined(n: int, percent: int):
     def verify(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         """Links of a block, or across two blocks, as a spanning forest: whatever more links there are lies within its trees."""
         _, low, high = key
         group = group.sort_values("id", kind="stable")
         ids, blocks = group["id"].to_numpy(), group["block"].to_numpy()
-        sets = [np.asarray(x, dtype=np.int64) for x in group["shingles"]]
+        sets = [shingle_set(x, n) for x in group["body"]]
         sizes = np.array([len(x) for x in sets])
         owners = np.repeat(np.arange(len(sets)), sizes)
         found, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -248,7 +255,7 @@ def _joined(percent: int):
             part[owners[a:b], place[a:b] - start] = 1
             both += part @ part.T
         inside = both.astype(np.int64)
-        linked = inside * 100 >= percent * (sizes[:, None] + sizes[None, :] - inside)
+        linked = (inside > 0) & (inside * 100 >= percent * (sizes[:, None] + sizes[None, :] - inside))
         if low != high:
             linked &= blocks[:, None] != blocks[None, :]
         root = np.arange(len(sets))
@@ -285,17 +292,17 @@ def near_components(df: DataFrame, n: int = 5, percent: int = 80, doc_id: str =
     """
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), utf8(F.col(f"`{text}`")).alias("_text"))
     rows = _prefixes(docs, n, percent)
-    classes = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "row", "size", "group")).alias("c")).select("key", "c.id", "c.row", "c.size", "c.group")
+    classes = rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "row", "size", "gid")).alias("c")).select("key", "c.id", "c.row", "c.size", "c.gid")
     classes = stored(classes, "jaccard-classes")
     touching = _candidates(rows, classes, percent)
-    groups = components(touching, "jaccard-candidates")
-    sized = stored(groups.join(classes.select("id", "size"), "id"), "jaccard-groups")
+    groups = components(touching, "jaccard-candidates").withColumnRenamed("id", "gid")
+    sized = stored(classes.select("id", "size", "gid").join(groups, "gid").select("id", "size", "component_id"), "jaccard-groups")
     cuts = sized.groupBy("component_id").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = sized.join(cuts, "component_id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = placed.withColumn("other", other).select("component_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id")
-    cells = cells.join(_member_sets(docs, groups, n), "id")
-    links = cells.groupBy("component_id", "low", "high").applyInPandas(_joined(percent), "a long, b long")
+    cells = cells.join(_member_texts(docs, sized), "id")
+    links = cells.groupBy("component_id", "low", "high").applyInPandas(_joined(n, percent), "a long, b long")
     found = components(links, "jaccard-links")
     final = classes.select("key", "id").join(found, "id", "left").select("key", F.coalesce("component_id", "id").alias("component_id"))
     return rows.select("doc_id", "size", "key").join(final, "key", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
