@@ -61,9 +61,11 @@ def near_corpus(seed: int, docs: int) -> list:
     return [*out, (1, None), (2, ""), (3, " \t\x0b "), (4, "One"), (5, "oNE"), (6, "é É"), (7, "é É"), (8, "a b"), (9, "b a")]
 
 
-@pytest.mark.parametrize(("n", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (1, 50, 3)])
-def test_components_equal_brute_force(spark, monkeypatch, n, percent, seed):
+@pytest.mark.parametrize(("n", "percent", "seed", "bits"), [(3, 90, 1, 1 << 27), (5, 80, 2, 1), (1, 50, 3, 1 << 27)])
+def test_components_equal_brute_force(spark, monkeypatch, n, percent, seed, bits):
+    """One bit is too few to tell groups apart: the prefixes are then found by a join."""
     monkeypatch.setattr(jaccard, "FEW", 4)
+    monkeypatch.setattr(jaccard, "MOST_BITS", bits)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 16)
     rows = near_corpus(seed, 150)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_components(frame(spark, rows).repartition(3), n, percent).collect()}
@@ -76,6 +78,14 @@ def test_components_of_a_table(spark, sf):
     assert got == brute_components(rows, 3, 90)
 
 
+def test_empty_texts_of_candidates_link_nothing(spark):
+    """Ids 1 and 2 have an empty text besides one that is compared; the empty ones make no link of the two."""
+    a, b = [" ".join(f"{k}{i}" for i in range(40)) for k in "ab"]
+    rows = [(1, a), (2, b), (3, a + " end"), (4, b + " end"), (1, ""), (2, "")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.near_components(frame(spark, rows), 3, 90).collect()}
+    assert got == {(1, 38): 1, (3, 39): 1, (1, 0): 1, (2, 38): 2, (4, 39): 2, (2, 0): 2}
+
+
 def test_components_odd_tables(spark):
     assert jaccard.near_components(frame(spark, []), 3, 90).count() == 0
     rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (None, None), (7, None), (None, "x y z"), (9, "long " * 30000)]
