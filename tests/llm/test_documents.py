@@ -275,3 +275,45 @@ def test_pseudonyms_leave_no_private_value_in_a_table(spark, sf):
                 assert m[0] not in r.text
                 seen[m[0]] = ""
     assert seen
+
+
+#: Written down here, apart from the patterns of the module.
+FORMATS = {
+    "+1 (017) 555-7713": r"\+1 \([01]\d\d\) [2-9]\d\d-\d{4}", "+1 (132) 055-1352": r"\+1 \([01]\d\d\) [01]\d\d-\d{4}", "(132) 555-1352": r"\([01]\d\d\) [2-9]\d\d-\d{4}",
+    "+14155552671": r"\+1[2-9]\d\d[2-9]\d{6}", "+1 415 555 2671": r"\+1 [2-9]\d\d [2-9]\d\d \d{4}", "+442079460958": r"\+44\d{10}", "+44 20 7946 0958": r"\+44 \d\d \d{4} \d{4}", "+4420 7946 0958": r"\+44\d\d \d{4} \d{4}",
+    "2021-03-04T10:00:00Z": r"(19|20)\d\d-\d\d-\d\dT10:00:00Z", "25/12/2020": r"(1[3-9]|2\d|3[01])/(0\d|1[0-2])/(19|20)\d\d", "12/25/2020": r"(0\d|1[0-2])/(1[3-9]|2\d|3[01])/(19|20)\d\d", "2020-12-25": r"(19|20)\d\d-\d\d-\d\d",
+}
+
+
+def test_pseudonyms_of_further_formats(spark):
+    got = {r.doc_id: r for r in pii.pseudonymise(frame(spark, list(enumerate(f"x {v}, y 12" for v in FORMATS))), KEY, count="n").collect()}
+    new = {}
+    for i, (v, pattern) in enumerate(FORMATS.items()):
+        match = re.fullmatch(f"x ({pattern}), y 12", got[i].text)
+        assert match and match[1] != v and got[i].n == 1, (v, got[i].text)
+        new[v] = match[1]
+    digits = {v: re.sub(r"\D", "", p) for v, p in new.items()}
+    assert digits["+14155552671"] == digits["+1 415 555 2671"] and digits["+442079460958"] == digits["+44 20 7946 0958"] == digits["+4420 7946 0958"]
+    day = datetime.datetime.strptime
+    assert day(new["25/12/2020"], "%d/%m/%Y") == day(new["12/25/2020"], "%m/%d/%Y") == day(new["2020-12-25"], "%Y-%m-%d")
+
+
+def test_slash_dates_and_low_areas_are_permuted(spark):
+    """Every valid slash date of a few decades, month first or day first, has a pseudonym of its own; so have low areas and exchanges."""
+    shown = lambda df: df.select(pii.pseudonym(F.col("m"), KEY).alias("p"))
+    days = spark.range(7300).select(F.explode(F.expr("array_distinct(array(date_format(date_add(date'2000-01-01', int(id)), 'MM/dd/yyyy'), date_format(date_add(date'2000-01-01', int(id)), 'dd/MM/yyyy')))")).alias("m")).distinct()
+    assert shown(days).distinct().count() == days.count()
+    phones = spark.range(0, 10**6, 97).select(F.expr("concat('+1 (', lpad(id div 1000, 3, '0'), ') ', lpad(id % 1000, 3, '0'), '-0199')").alias("m"))
+    assert shown(phones).distinct().count() == phones.count()
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_no_planted_value_stays_in_clear_text(spark, size):
+    """Telephone numbers by a pattern of this test."""
+    folder = f"/root/testdata/{size}"
+    before = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    planted = re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+    for r in queries.op8_pii(spark, folder).collect():
+        values = planted.findall(before[r.doc_id])
+        assert len(planted.findall(r.text or "")) == len(values)
+        assert not any(v in r.text for v in values), r.doc_id

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 #: Candidates of each kind. A candidate becomes a pseudonym only if it is valid (check digit, ranges, calendar).
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-PHONE = r"(?<![0-9A-Za-z.+-])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
-ABROAD = r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ -]\(?[0-9]{1,9}\)?(?![0-9]|\.[0-9])){1,4}(?![0-9A-Za-z])"
+PHONE = r"(?<![0-9A-Za-z.+-])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"
+#: Whole numbers without marks, or groups of digits.
+ABROAD = r"(?<![0-9A-Za-z+])\+[2-9](?:[0-9]{7,14}(?!\.[0-9])|[0-9]{0,6}(?:[ -]\(?[0-9]{1,9}\)?(?![0-9]|\.[0-9])){1,4})(?![0-9A-Za-z])"
+#: Country codes of one and two digits; all others have three.
+COUNTRY = r"^\+(7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
-DATE = r"(?<![0-9A-Za-z.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9A-Za-z-]|\.[0-9])"
+DATE = r"(?<![0-9A-Za-z.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?=[Tt][0-9]|(?![0-9A-Za-z-]|\.[0-9]))"
 SSN = r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 ANY = f"{EMAIL}|{PHONE}|{ABROAD}|{IPV4}|{DATE}|{SSN}|{CARD}"
@@ -20,6 +23,8 @@ ANY = f"{EMAIL}|{PHONE}|{ABROAD}|{IPV4}|{DATE}|{SSN}|{CARD}"
 ROUNDS = 10
 #: Days from 1900-01-01 to 2099-12-31: 17 x 4297.
 DATE_LEFT, DATE_RIGHT = 17, 4297
+#: Most applications of the permutation until a date is found on the same side of the 12th; ten or so happen.
+DATE_STEPS = 100
 
 
 def _feistel(left: Column, right: Column, lefts: Column, rights: Column, key: str, tag: Column) -> Column:
@@ -121,22 +126,24 @@ def _ipv4(found: Column, key: str) -> Column:
 
 
 def _phone(found: Column, key: str) -> Column:
-    """Country code and layout kept; area and exchange stay within 200 to 999."""
+    """Country code and layout kept; area and exchange each stay below 200, or within 200 to 999."""
     def changed(digits: Column) -> Column:
         part = lambda a, n: F.substr(digits, F.lit(a), F.lit(n)).cast("long")
-        both = _feistel((part(1, 3) - 200) * 100 + part(7, 2), (part(4, 3) - 200) * 100 + part(9, 2), F.lit(80000), F.lit(80000), key, F.lit("phone"))
-        shown = lambda x: F.concat(*[F.lpad(v.cast("string"), n, "0") for v, n in ((F.floor(x["a"] / 100) + 200, 3), (F.floor(x["b"] / 100) + 200, 3), (x["a"] % 100, 2), (x["b"] % 100, 2))])
+        least = [F.when(part(a, 3) < 200, 0).otherwise(200).cast("long") for a in (1, 4)]
+        many = [F.when(part(a, 3) < 200, 20000).otherwise(80000).cast("long") for a in (1, 4)]
+        both = _feistel((part(1, 3) - least[0]) * 100 + part(7, 2), (part(4, 3) - least[1]) * 100 + part(9, 2), many[0], many[1], key, F.lit("phone"))
+        shown = lambda x: F.concat(*[F.lpad(v.cast("string"), n, "0") for v, n in ((F.floor(x["a"] / 100) + least[0], 3), (F.floor(x["b"] / 100) + least[1], 3), (x["a"] % 100, 2), (x["b"] % 100, 2))])
         country = F.length(_only(found, "0-9")) == 11
         return _let(_let(both, shown), lambda new: _refilled(found, "[0-9]", F.when(country, F.concat(F.lit("1"), new)).otherwise(new)))
     return _let(F.right(_only(found, "0-9"), F.lit(10)), changed)
 
 
 def _abroad(found: Column, key: str) -> Column:
-    """8 to 15 digits; the country code, up to the first separator, is kept."""
-    head = F.regexp_extract(found, r"^\+([0-9]+)", 1)
-    rest = F.substr(_only(found, "0-9"), F.length(head) + 1, F.lit(20))
-    total = F.length(_only(found, "0-9"))
-    return F.when(total.between(8, 15), _let(_permuted(rest, 10, key, F.concat(F.lit("abroad"), head)), lambda new: _refilled(found, "[0-9]", F.concat(head, new)))).otherwise(found)
+    """8 to 15 digits; the country code is kept."""
+    digits = _only(found, "0-9")
+    head = F.regexp_extract(F.concat(F.lit("+"), digits), COUNTRY, 1)
+    rest = F.substr(digits, F.length(head) + 1, F.lit(20))
+    return F.when(F.length(digits).between(8, 15), _let(_permuted(rest, 10, key, F.concat(F.lit("abroad"), head)), lambda new: _refilled(found, "[0-9]", F.concat(head, new)))).otherwise(found)
 
 
 def _ssn(found: Column, key: str) -> Column:
@@ -151,16 +158,25 @@ def _ssn(found: Column, key: str) -> Column:
 
 
 def _date(found: Column, key: str) -> Column:
-    shape = F.when(found.contains("-"), "yyyy-MM-dd").when(found.contains("."), "dd.MM.yyyy").otherwise("MM/dd/yyyy")
-    parsed = F.coalesce(*[F.when(shape == s, F.try_to_date(found, s)) for s in ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy")])
+    """Days up to the 12th stay so, later ones too: what can be read month first, and what only day first, stays so in every format."""
+    shapes = ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy", "dd/MM/yyyy")
+    first_month = F.try_to_date(F.when(found.contains("/"), found), "MM/dd/yyyy").isNotNull()
+    shape = F.when(found.contains("-"), shapes[0]).when(found.contains("."), shapes[1]).when(first_month, shapes[2]).otherwise(shapes[3])
+    parsed = F.coalesce(*[F.when(shape == s, F.try_to_date(found, s)) for s in shapes])
     first = F.lit("1900-01-01").cast("date")
-    days = F.date_diff(parsed, first).cast("long")
-    both = _feistel(F.floor(days / DATE_RIGHT), days % DATE_RIGHT, F.lit(DATE_LEFT), F.lit(DATE_RIGHT), key, F.lit("date"))
+    day_of = lambda x: F.date_add(first, (x["a"] * DATE_RIGHT + x["b"]).cast("int"))
 
-    def shown(x: Column) -> Column:
-        day = F.date_add(first, (x["a"] * DATE_RIGHT + x["b"]).cast("int"))
-        return F.coalesce(*[F.when(shape == s, F.date_format(day, s)) for s in ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy")])
-    return F.when(parsed.isNotNull(), _let(both, shown)).otherwise(found)
+    def changed(date: Column) -> Column:
+        days = F.date_diff(date, first).cast("long")
+        start = F.struct(F.floor(days / DATE_RIGHT).cast("long").alias("a"), (days % DATE_RIGHT).alias("b"))
+
+        def step(now: Column, i: Column) -> Column:
+            there = (i > 0) & ((F.dayofmonth(day_of(now)) > 12) == (F.dayofmonth(date) > 12))
+            return F.when(there, now).otherwise(_feistel(now["a"], now["b"], F.lit(DATE_LEFT), F.lit(DATE_RIGHT), key, F.lit("date")))
+
+        walked = F.aggregate(F.sequence(F.lit(0), F.lit(DATE_STEPS)), start, step)
+        return _let(walked, lambda x: F.coalesce(*[F.when(shape == s, F.date_format(day_of(x), s)) for s in shapes]))
+    return F.when(parsed.isNotNull(), _let(parsed, changed)).otherwise(found)
 
 
 def _email(found: Column, key: str) -> Column:
