@@ -135,6 +135,20 @@ def test_forest_does_not_depend_on_partitioning(spark):
     assert a.nodes == b.nodes and a.threshold == b.threshold
 
 
+def test_trees_draw_from_all_rows_of_a_large_table(spark):
+    """Independent samples of 256 of 400,000 rows overlap little; from any fixed part of the rows they would more."""
+    n, settings = 400_000, Settings()
+    rows = spark.range(n).select("id", F.col("id").cast("double").alias("a"))
+    got = forest.tree_samples(rows, ["a"], n, ["id"], settings).toPandas()
+    assert (got.groupby("tree").a.nunique() == settings.forest_sample).all() and got.tree.nunique() == settings.forest_trees
+    drawn = settings.forest_sample * settings.forest_trees
+    assert got.a.nunique() == pytest.approx(n * (1 - (1 - settings.forest_sample / n) ** settings.forest_trees), rel=0.01)
+    assert np.histogram(got.a, bins=8, range=(0, n))[0] == pytest.approx(np.full(8, drawn / 8), rel=0.06)
+    early, late = (got.loc[got.tree.between(lo, lo + 49), "a"] for lo in (0, 150))
+    both = len(np.intersect1d(early, late))
+    assert both == pytest.approx((50 * settings.forest_sample) ** 2 / n, rel=0.25)
+
+
 def test_forest_needs_enough_rows(spark):
     assert forest.fit(kpi_frame(spark, kpi_rows(49))) is None
     assert forest.fit(kpi_frame(spark, kpi_rows(60)), settings=SMALL_FOREST) is not None

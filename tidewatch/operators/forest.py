@@ -25,8 +25,6 @@ from tidewatch.session import stored
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 EULER_GAMMA = 0.5772156649015329
-# Rows kept by the first thinning: several hundred times a tree's sample.
-THIN_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -59,18 +57,26 @@ def _unit(*parts: Column) -> Column:
 
 
 def tree_samples(rows: DataFrame, features: Sequence[str], n: int, keys: Sequence[str], settings: Settings) -> DataFrame:
-    """Sample of each tree. Thinned by hash first, so that rows x trees stays bounded."""
+    """Sample of each tree, drawn from all rows.
+
+    Every row is offered to every tree at the same rate. One hash says which tree takes it first, if any; only
+    rows that some tree takes are repeated, for the trees after that one. So rows x trees stays bounded.
+    """
     psi = min(settings.forest_sample, n)
-    kept = min(1.0, THIN_ROWS / n)
-    if kept < 1.0:
-        rows = rows.where(_unit(*[F.col(k) for k in keys], F.lit(settings.seed)) < kept)
     # Half as many again as needed, then exactly psi by rank.
-    wanted = min(1.0, (1.5 * psi + 20 * math.sqrt(psi)) / (n * kept))
-    trees = F.explode(F.sequence(F.lit(0), F.lit(settings.forest_trees - 1))).alias("tree")
-    drawn = rows.select(*features, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], trees).withColumn(
-        "_u", _unit(*[F.col(f"_k{i}") for i in range(len(keys))], F.lit(settings.seed + 1), F.col("tree"))
-    )
-    drawn = drawn.where(F.col("_u") < wanted)
+    rate = min(1.0, (1.5 * psi + 20 * math.sqrt(psi)) / n)
+    key = [F.col(k) for k in keys]
+    first = F.lit(0)
+    if rate < 1.0:
+        chance, missed = _unit(*key, F.lit(settings.seed)), math.log1p(-rate)
+        rows = rows.where(chance < -math.expm1(settings.forest_trees * missed))
+        first = F.least(F.floor(F.log1p(-chance) / missed), F.lit(settings.forest_trees - 1)).cast("int")
+    trees = F.explode(F.sequence("_first", F.lit(settings.forest_trees - 1))).alias("tree")
+    drawn = rows.select(*features, *[c.alias(f"_k{i}") for i, c in enumerate(key)], first.alias("_first"))
+    drawn = drawn.select("*", trees)
+    kept = [F.col(f"_k{i}") for i in range(len(keys))]
+    drawn = drawn.where((F.col("tree") == F.col("_first")) | (_unit(*kept, F.lit(settings.seed + 2), F.col("tree")) < rate))
+    drawn = drawn.withColumn("_u", _unit(*kept, F.lit(settings.seed + 1), F.col("tree")))
     # Growing costs far more than the few bytes of a sample suggest: one task per tree or core.
     cores = rows.sparkSession.sparkContext.defaultParallelism
     drawn = drawn.repartition(min(settings.forest_trees, max(cores, 1)), "tree")
