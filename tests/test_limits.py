@@ -1,7 +1,10 @@
 """Cases in which a search could run on, or rows could get lost."""
 
+from datetime import datetime, timedelta
+
 from tidewatch.operators.quantiles import exact_quantiles
-from tidewatch.operators import windows
+from tidewatch.operators import anomaly, causal, profile, quality, windows
+import numpy as np
 from pyspark.sql import functions as F
 
 
@@ -20,3 +23,37 @@ def test_blocks_keep_rows_without_key_or_time(spark):
     df = spark.createDataFrame(rows, "k string, t long, i long")
     got = windows.in_blocks(df, {"n": lambda w: F.count("i").over(w)}, ["k"], ["t", "i"], 2, F.floor(F.col("t") / 10))
     assert sorted(r.i for r in got.collect()) == list(range(30))
+
+
+def test_all_columns_and_cells_have_outliers(spark):
+    rows = [tuple(float(i % (k + 3)) for k in range(6)) for i in range(5000)] + [(900.0,) * 6] * 60
+    df = spark.createDataFrame(rows, ", ".join(f"c{k} double" for k in range(6)))
+    got = anomaly.column_outliers(df, df.columns, [], enough=None).groupBy("metric_name").count().collect()
+    assert {r["metric_name"]: r["count"] for r in got} == {f"c{k}": 60 for k in range(6)}
+    few = spark.createDataFrame([(float(i % 3),) * 5 + (900.0 if i == 0 else 0.0,) for i in range(500)], df.schema)
+    assert [r["metric_name"] for r in anomaly.column_outliers(few, few.columns, []).collect()] == ["c5"]
+
+
+def test_insight_looks_at_all_categories(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d")] * 9, "w string, x string, y string, z string")
+    got = profile.insight(df, [], df.columns, "sales").orderBy("position").collect()
+    assert [t["text"][:3] for t in got[:-1]] == ["`w`", "`x`", "`y`", "`z`"] and got[-1]["text"].startswith("Dataset is")
+    assert [r["position"] for r in profile.insight(df, [], ["w"], "sales").orderBy("position").collect()] == [1, 3]
+
+
+def test_all_confounders_are_held_fixed(spark):
+    rng = np.random.default_rng(5)
+    names = ["order_count", "avg_price", "avg_discount", "return_rate", "avg_qty", "evt_view"]
+    x = rng.normal(size=(80, 6))
+    y = x @ np.array([1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) + rng.normal(size=80)
+    x[:, 2] += x[:, 4] + x[:, 5]
+    rows = [("N", "B", datetime(2024, 1, 1) + timedelta(hours=i), *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "region string, category string, hour_bucket timestamp, " + ", ".join(f"{n} double" for n in [*names, "revenue"]))
+    beta = np.linalg.lstsq(np.column_stack([np.ones(80), x]), y, rcond=None)[0]
+    assert abs(causal.backdoor_ate(df, "avg_discount", "revenue", limit=None).first()["ate"] - beta[3]) < 1e-6
+    assert abs(causal.refute_random_common_cause(df, "avg_discount", "revenue", limit=None).first()["ate"] - beta[3]) < 1e-6
+
+
+def test_row_count_without_upper_limit(spark):
+    got = quality.validate(spark.range(3), "t", [quality.expect_row_count_between(1, None), quality.expect_row_count_between(1, 2)]).orderBy("check_no").collect()
+    assert [(r["passed"], r["detail"]) for r in got] == [(True, "3 rows (expected at least 1)"), (False, "3 rows (expected 1–2)")]

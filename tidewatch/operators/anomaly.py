@@ -175,14 +175,14 @@ def ml_anomalies(df: DataFrame, columns: Sequence[str], keys: Sequence[str], set
 
 
 def column_outliers(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], dataset_type: str = "general", enough: int = 50
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], dataset_type: str = "general", enough: int | None = 50
 ) -> DataFrame:
-    """Cells with |z| > 2.5 in the first four numeric columns.
+    """Cells with |z| > 2.5 in the numeric columns.
 
     Columns with under 6 values or no spread are passed over; no further column
-    is looked at once the earlier ones gave ``enough`` rows.
+    is looked at once the earlier ones gave ``enough`` rows. None looks at all columns.
     """
-    cols = list(numeric)[:4]
+    cols = list(numeric)
     stats = _stats(df, cols, F.stddev_samp)
 
     def z_of(c: str) -> Column:
@@ -200,7 +200,7 @@ def column_outliers(
         earlier = F.lit(0)
         for j in range(i):
             earlier = earlier + over.getField(f"c{j}")
-        z = F.when(earlier < enough, F.col(f"_z{i}"))
+        z = F.col(f"_z{i}") if enough is None else F.when(earlier < enough, F.col(f"_z{i}"))
         cells.append(
             F.struct(
                 F.lit(c).alias("metric_name"),

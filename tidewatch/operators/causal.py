@@ -190,7 +190,8 @@ def ols_findings(features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PA
 # -- adjustment for confounders ------------------------------------------------------
 
 
-def confounders(columns: Sequence[str], x: str, y: str, limit: int = 3) -> list[str]:
+def confounders(columns: Sequence[str], x: str, y: str, limit: int | None = 3) -> list[str]:
+    """The features besides x and y, the first ``limit`` of them; None for all."""
     ordered = [c for c in FEATURE_ORDER if c in columns] + [c for c in columns if c.startswith("evt_")]
     return [c for c in ordered if c not in (x, y)][:limit]
 
@@ -220,14 +221,14 @@ def _solver(width: int):
 
 
 def backdoor_ate(
-    features: DataFrame, x: str, y: str, controls: Sequence[str] | None = None, by: Sequence[str] = BY
+    features: DataFrame, x: str, y: str, controls: Sequence[str] | None = None, by: Sequence[str] = BY, limit: int | None = 3
 ) -> DataFrame:
-    """Effect of x on y with up to three confounders held fixed, per group.
+    """Effect of x on y with ``controls`` held fixed, per group; without them the first ``limit`` confounders, None for all.
 
     Means and cross-moments are aggregated by Spark; a task then solves one
     small linear system per group. Needs five complete rows.
     """
-    controls = confounders(features.columns, x, y) if controls is None else list(controls)
+    controls = confounders(features.columns, x, y, limit) if controls is None else list(controls)
     cols = [x, *controls, y]
     rows = features.select(*by, *[S.finite(c).alias(f"c{i}") for i, c in enumerate(cols)]).dropna(
         subset=[f"c{i}" for i in range(len(cols))]
@@ -254,11 +255,11 @@ def backdoor_ate(
     )
 
 
-def refute_random_common_cause(features: DataFrame, x: str, y: str, by: Sequence[str] = BY, seed: int = 42) -> DataFrame:
+def refute_random_common_cause(features: DataFrame, x: str, y: str, by: Sequence[str] = BY, seed: int = 42, limit: int | None = 3) -> DataFrame:
     """Effect before and after adding an unrelated random confounder; a sound effect hardly moves."""
     head = F.substring(F.md5(F.concat_ws("|", row_key(by), F.lit(str(seed)))), 1, 8)
     noise = F.conv(head, 16, 10).cast("double") / F.lit(float(2**32))
-    controls = confounders(features.columns, x, y)
+    controls = confounders(features.columns, x, y, limit)
     before = backdoor_ate(features, x, y, controls, by)
     after = backdoor_ate(features.withColumn("random_cause", noise), x, y, [*controls, "random_cause"], by)
     return before.join(after.select(*by, F.col("ate").alias("new_effect")), list(by))

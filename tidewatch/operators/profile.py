@@ -185,7 +185,7 @@ def profile(df: DataFrame, kinds: Mapping[str, str], dataset_type: str | None =
 
 
 def insight(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], dataset_type: str) -> DataFrame:
-    """Findings as rows (position, text): spikes, dominated categories, dataset hint."""
+    """Findings as rows (position, text): spikes, each dominated category, dataset hint last."""
     spark = df.sparkSession
     parts = []
     if numeric:
@@ -199,7 +199,7 @@ def insight(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], d
             F.lit(f" spike(s)** in `{c}` (z>2.5σ) — investigate anomalies."),
         )
         parts.append(hits.select(F.lit(0).alias("position"), text.alias("text")))
-    for i, c in enumerate(list(categorical)[:2], 1):
+    for i, c in enumerate(categorical, 1):
         counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
         top = counts.agg(F.max_by(c, F.struct("n", c)).alias("value"), F.max("n").alias("n"), F.sum("n").alias("all"))
         share = F.try_divide(F.col("n"), F.col("all"))
@@ -208,7 +208,7 @@ def insight(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], d
             F.format_string("%.0f%%", F.round(share * 100, 0)), F.lit(") — skewed distribution."),
         )
         parts.append(top.where(share > 0.55).select(F.lit(i).alias("position"), text.alias("text")))
-    hint = spark.range(1).select(F.lit(3).alias("position"), F.lit(fv.DATASET_HINTS.get(dataset_type, "")).alias("text"))
+    hint = spark.range(1).select(F.lit(max(3, len(categorical) + 1)).alias("position"), F.lit(fv.DATASET_HINTS.get(dataset_type, "")).alias("text"))
     out = hint
     for p in parts:
         out = out.unionByName(p)
