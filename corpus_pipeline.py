@@ -47,7 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048 along a Hilbert curve."""
-    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), special=True)
     return found.select("doc_id", F.col("piece_start").alias("start"), F.col("piece_length").alias("length"), F.crc32("piece_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

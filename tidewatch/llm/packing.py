@@ -22,17 +22,19 @@ _CHUNK = re.compile(r"[^ \t\n\v\f\r]+")
 _MARKS = ".,;:!?"
 #: Chunks of text whose ids a Python worker keeps in each of two generations. Bounds memory, not results.
 CHUNKS_KEPT = 600_000
-_KEPT: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+_KEPT: dict[tuple[str, bool], tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
+@lru_cache(maxsize=4)
+def _tokenizer(path: str, special: bool):
+    """The tokenizer, and a pattern of the added tokens it finds in texts, in any case."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    tokenizer.encode_special_tokens = not special
+    added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()] if special else []
+    return tokenizer, re.compile("|".join(added), re.IGNORECASE) if added else None
 
 
 def _parts(chunk: str) -> tuple[str, ...]:
@@ -42,24 +44,26 @@ def _parts(chunk: str) -> tuple[str, ...]:
     return (core, low[len(core) :]) if core != low and core and core[-1].isalnum() else (low,)
 
 
-def encode_texts(values: list[str], path: str) -> list[np.ndarray]:
+def encode_texts(values: list[str], path: str, special: bool = False) -> list[np.ndarray]:
     """Ids of texts by a tokenizer that lower-cases, and for which white space only separates: chunks between blanks are encoded once and remembered.
 
-    Chunks met since the last change of generation are kept with those of the generation before.
+    Chunks met since the last change of generation are kept with those of the generation before. With `special`, special
+    tokens written out in a text are their one id; chunks that hold one, in any case, are encoded as they stand.
     """
-    tokenizer = _tokenizer(path)
-    young, old = _KEPT.get(path, ({}, {}))
+    tokenizer, added = _tokenizer(path, special)
+    young, old = _KEPT.get((path, special), ({}, {}))
     if len(young) > CHUNKS_KEPT:
         young, old = {}, young
-    _KEPT[path] = young, old
+    _KEPT[path, special] = young, old
     split, new = [], {}
     for text in values:
         parts: list[str] = []
+        whole = added is not None and added.search(text) is not None
         for chunk in _CHUNK.findall(text):
             if chunk in young:
                 parts.append(chunk)
                 continue
-            for part in _parts(chunk):
+            for part in (chunk,) if whole and added.search(chunk) else _parts(chunk):
                 if part not in young and part not in new:
                     if part in old:
                         young[part] = old[part]
@@ -120,10 +124,11 @@ class Projection:
         return np.clip((0.5 + 0.5 * np.tanh(4 * mean)) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
-def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str = "text", doc_id: str = "doc_id", special: bool = False) -> DataFrame:
     """Pieces (doc_id, piece_start, piece_length, piece_ids, doc_tokens, sequence_id, offset) of sequences of `length` tokens.
 
     A document is its ids by the tokenizers file `path` and then the id `end`; null and empty texts are that id alone.
+    Special tokens written out in a text are plain text, or with `special` their one id, as in a plain call of the tokenizer.
     Documents are laid one after another along a Hilbert curve through their projected vectors, so neighbours in a sequence
     resemble each other, and the line is cut every `length` tokens: only the last sequence may be short. piece_ids are
     little-endian unsigned numbers of 32 bits. Rows are kept apart even if they share a doc_id; a null doc_id stays null;
@@ -138,7 +143,7 @@ def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str =
         projection = Projection()
         for whole in batches:
             for batch in pieces(whole, "_text", 2 << 20):
-                found = encode_texts(texts(batch, "_text"), path)
+                found = encode_texts(texts(batch, "_text"), path, special)
                 places = hilbert(np.array([projection.point(ids) for ids in found]).reshape(len(found), AXES))
                 found = [np.append(ids, end) for ids in found]
                 wide = [ids.max() >= 1 << 16 for ids in found]
