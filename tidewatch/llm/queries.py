@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, dedup, jaccard, langid, packing, pii, shards, tokencount, topk, urls
-from tidewatch.session import prepare, workspace
+from tidewatch.llm import bpe, dedup, fim, jaccard, langid, packing, pii, shards, tokencount, topk, urls
+from tidewatch.session import prepare, stored, workspace
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 PSEUDONYM_KEY = "corpus-release-1"
@@ -114,6 +114,23 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 """
 
 
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-the-middle form, from its stored frames."""
+    framed = stored(fim.frames(table(spark, sf_dir, "documents")), "fim-frames")
+    return fim.fill_in_middle(fim.draws(framed), output=False)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS r FROM d),
+n AS (SELECT *, len(units) AS n, least(r[1] % (len(units) + 1), r[2] % (len(units) + 1)) AS a, greatest(r[1] % (len(units) + 1), r[2] % (len(units) + 1)) AS b FROM u),
+f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 50 THEN 'plain' WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+      array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM n)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM f
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after another."""
     import corpus_pipeline
@@ -122,6 +139,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_shards, op3_topk, op4_language, op5_jaccard, op6_token_counts, op7_packing, op8_pii, op9_urls, op10_copies, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_shards, op3_topk, op4_language, op5_jaccard, op6_token_counts, op7_packing, op8_pii, op9_urls, op10_copies, op13_fim, pipeline)
 }
-ORACLES: dict[str, str] = {"op3_topk": OP3_SQL, "op9_urls": OP9_SQL, "op10_copies": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_topk": OP3_SQL, "op9_urls": OP9_SQL, "op10_copies": OP10_SQL, "op13_fim": OP13_SQL}
