@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, dedup, fim, jaccard, langid, packing, pii, shards, tokencount, topk, urls
+from tidewatch.llm import bpe, dedup, divergence, fim, jaccard, langid, packing, pii, shards, tokencount, topk, urls
 from tidewatch.session import prepare, stored, workspace
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -114,6 +114,30 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 """
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and the terms that set each apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS count, 1 + CAST(1000000000 * (coalesce(c.n, 0) + 1) AS HUGEINT) // CAST(g.n + v.v AS HUGEINT) AS p
+      FROM g JOIN v USING (lang) JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (SELECT lang, term, 1 + CAST(1000000000 * (t + 1) AS HUGEINT) // CAST(sum(t) OVER (PARTITION BY lang) + v AS HUGEINT) AS q FROM (SELECT lang, term, sum(n) AS t FROM c GROUP BY lang, term) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p JOIN l USING (lang, term) WHERE count > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+      UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fill-in-the-middle form, from its stored frames."""
     framed = stored(fim.frames(table(spark, sf_dir, "documents")), "fim-frames")
@@ -139,6 +163,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_shards, op3_topk, op4_language, op5_jaccard, op6_token_counts, op7_packing, op8_pii, op9_urls, op10_copies, op13_fim, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_shards, op3_topk, op4_language, op5_jaccard, op6_token_counts, op7_packing, op8_pii, op9_urls, op10_copies, op12_divergence, op13_fim, pipeline)
 }
-ORACLES: dict[str, str] = {"op3_topk": OP3_SQL, "op9_urls": OP9_SQL, "op10_copies": OP10_SQL, "op13_fim": OP13_SQL}
+ORACLES: dict[str, str] = {"op3_topk": OP3_SQL, "op9_urls": OP9_SQL, "op10_copies": OP10_SQL, "op12_divergence": OP12_SQL, "op13_fim": OP13_SQL}
