@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, dedup, divergence, fim, jaccard, langid, packing, pii, shards, tokencount, topk, urls
+from tidewatch.llm import bpe, dedup, divergence, fim, jaccard, langid, minhash, packing, pii, shards, tokencount, topk, urls
 from tidewatch.session import prepare, stored, workspace
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -114,6 +114,11 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 """
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of five-word shingles have a Jaccard similarity of 0.85 or more, found by b-bit MinHash."""
+    return minhash.near_copies(table(spark, sf_dir, "documents"), 5, 85)
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language differ, and the terms that set each apart."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -163,6 +168,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_shards, op3_topk, op4_language, op5_jaccard, op6_token_counts, op7_packing, op8_pii, op9_urls, op10_copies, op12_divergence, op13_fim, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_shards, op3_topk, op4_language, op5_jaccard, op6_token_counts, op7_packing, op8_pii, op9_urls, op10_copies, op11_minhash, op12_divergence, op13_fim, pipeline)
 }
 ORACLES: dict[str, str] = {"op3_topk": OP3_SQL, "op9_urls": OP9_SQL, "op10_copies": OP10_SQL, "op12_divergence": OP12_SQL, "op13_fim": OP13_SQL}
