@@ -20,6 +20,14 @@ def utf8(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that no other column has, in any case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     """Texts of a batch from a binary column; malformed bytes become U+FFFD."""
     return [b.decode("utf-8", "replace") if b else "" for b in batch.column(name).to_pylist()]

@@ -23,9 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return bpe.decode(ids, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
