@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import pieces, texts, utf8
+from tidewatch.llm.common import fresh, pieces, texts, utf8
 
 #: Length of the vectors. Unrelated vectors have a cosine of about 1 / sqrt(DIMENSIONS).
 DIMENSIONS = 512
@@ -23,15 +23,23 @@ _LETTERS_KEPT, _GRAMS_KEPT, _AT_ONCE = 20_000, 20_000, 1 << 20
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Lower-case letter of each code point of the first two planes, blank for other characters. Above them, all count as letters."""
-    chars = map(chr, range(_PLANES))
-    return np.array([ord(c.lower()[0]) if c.isalpha() else _BLANK for c in chars], dtype=np.int64)
+    """Lower-case letter of each code point of the first two planes, blank for other characters."""
+    return np.array([_letter(code) for code in range(_PLANES)], dtype=np.int64)
+
+
+def _letter(code: int) -> int:
+    char = chr(code)
+    return ord(char.lower()[0]) if char.isalpha() else _BLANK
 
 
 def grams(text: str) -> np.ndarray:
     """Trigrams of a text's letters as numbers; each run of other characters, and either end, is one blank."""
     code = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
-    low = np.where(code < _PLANES, _letters()[np.minimum(code, _PLANES - 1)], code)
+    low = _letters()[np.minimum(code, _PLANES - 1)]
+    above = np.flatnonzero(code >= _PLANES)
+    if len(above):
+        known, place = np.unique(code[above], return_inverse=True)
+        low[above] = np.array([_letter(int(c)) for c in known], dtype=np.int64)[place]
     low = np.concatenate([[_BLANK], low, [_BLANK]])
     low = low[np.concatenate([[True], (low[1:] != _BLANK) | (low[:-1] != _BLANK)])]
     if len(low) < 3:
@@ -98,8 +106,8 @@ class Space:
         return out
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batch, "_text", 1 << 20):
+def _blocks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    for part in pieces(batch, text, 1 << 20):
         for start in range(0, part.num_rows, 64):
             yield part.slice(start, 64)
 
@@ -162,19 +170,23 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
     """`df` with the language whose prototype is nearest to the whole text by cosine, and that cosine cut to 0 to 1.
 
     Texts that are null or have no letter, and all texts if there are no prototypes, get `und` and 0. Equal cosines go to
-    the first language by name. Other columns pass through; existing columns of the two names are replaced.
+    the first language by name. Other columns pass through, whatever their names; existing columns of the two names are
+    replaced. The text is sent to Python once.
     """
     names = sorted(prototypes)
     matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((0, dimensions))
     rest = [F.col(f"`{c}`") for c in df.columns if c not in (lang_pred, score)]
-    sent = df.select(*rest, utf8(F.col(f"`{text}`")).alias("_text"))
+    passed = text in df.columns and text not in (lang_pred, score) and dict(df.dtypes)[text] == "string"
+    body = text if passed else fresh("_text", df.columns)
+    sent = df.select(*rest) if passed else df.select(*rest, F.col(f"`{text}`").cast("string").alias(body))
     schema = df.select(*rest, F.lit("").alias(lang_pred), F.lit(0.0).alias(score)).schema
+    width = len(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = Space(dimensions, seed)
         for whole in batches:
-            for batch in _blocks(whole):
-                values = texts(batch, "_text")
+            for batch in _blocks(whole, body):
+                values = [x or "" for x in batch.column(body).to_pylist()]
                 vectors = space.profiles(values)
                 length = np.linalg.norm(vectors, axis=1)
                 known = (length > 0) & (len(names) > 0)
@@ -184,7 +196,7 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
                     best[known] = near.argmax(axis=1)
                     cosine[known] = np.clip(near.max(axis=1), 0.0, 1.0)
                 said = [names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(said, pa.string()), pa.array(cosine)], names=[*batch.schema.names[:-1], lang_pred, score])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(said, pa.string()), pa.array(cosine)], names=[*batch.schema.names[:width], lang_pred, score])
 
     return sent.mapInArrow(run, schema)
 

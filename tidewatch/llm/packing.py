@@ -20,9 +20,10 @@ from tidewatch.session import stored
 AXES, BITS, FEATURES = 3, 16, 1024
 _CHUNK = re.compile(r"[^ \t\n\v\f\r]+")
 _MARKS = ".,;:!?"
+#: Stands between chunks that are encoded together.
+_MARK = "\u241e"
 #: Chunks of text whose ids a Python worker keeps in each of two generations. Bounds memory, not results.
-CHUNKS_KEPT = 600_000
-_KEPT: dict[tuple[str, bool], tuple[dict[str, bytes], dict[str, bytes]]] = {}
+CHUNKS_KEPT = 400_000
 
 
 @lru_cache(maxsize=4)
@@ -44,42 +45,90 @@ def _parts(chunk: str) -> tuple[str, ...]:
     return (core, low[len(core) :]) if core != low and core and core[-1].isalnum() else (low,)
 
 
-def encode_texts(values: list[str], path: str, special: bool = False) -> list[np.ndarray]:
+class Chunks:
+    """Ids of chunks by one tokenizer, as bytes. Chunks not met since the last but one change of generation are forgotten."""
+
+    def __init__(self, path: str, special: bool):
+        self.tokenizer, self.added = _tokenizer(path, special)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        alone, apart = (self._alone([x])[0] for x in (_MARK, f"a {_MARK} a"))
+        self.mark = np.frombuffer(alone, dtype=np.uint32)
+        self.joins = len(alone) > 0 and apart == self._alone(["a"])[0] + alone + self._alone(["a"])[0]
+
+    def _alone(self, forms: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(forms, add_special_tokens=False)]
+
+    def _coded(self, forms: list[str], at_once: int = 256) -> list[bytes]:
+        """Ids of forms. Many go to the tokenizer as one line with a mark of known ids between them, unless one holds the mark or a special token."""
+        plain = [f for f in forms if _MARK not in f and (self.added is None or not self.added.search(f))] if self.joins else []
+        lines = [plain[k : k + at_once] for k in range(0, len(plain), at_once)]
+        found: dict[str, bytes] = {}
+        for start in range(0, len(lines), 64):
+            part = lines[start : start + 64]
+            for line, coded in zip(part, self.tokenizer.encode_batch_fast([f" {_MARK} ".join(x) for x in part], add_special_tokens=False), strict=True):
+                ids, n = np.array(coded.ids, dtype=np.uint32), len(self.mark)
+                hit = np.ones(max(len(ids) - n + 1, 0), dtype=bool)
+                for k in range(n):
+                    hit &= ids[k : k + len(hit)] == self.mark[k]
+                at = np.flatnonzero(hit).tolist()
+                if len(at) == len(line) - 1:
+                    raw = ids.tobytes()
+                    found.update((f, raw[4 * low : 4 * high]) for f, low, high in zip(line, [0, *[a + n for a in at]], [*at, len(ids)], strict=True))
+        rest = [f for f in forms if f not in found]
+        for start in range(0, len(rest), 20_000):
+            found.update(zip(rest[start : start + 20_000], self._alone(rest[start : start + 20_000]), strict=True))
+        return [found[f] for f in forms]
+
+    def _keep(self, chunk: str, ids: bytes) -> None:
+        if len(chunk) <= 64:
+            self.young[chunk] = ids
+
+    def of(self, wanted: set[str]) -> dict[str, bytes]:
+        """The ids of distinct chunks: looked up as they stand, then by their reduced forms; forms that are not known go to the tokenizer together."""
+        if len(self.young) >= CHUNKS_KEPT:
+            self.young, self.old = {}, self.young
+        get, get_old = self.young.get, self.old.get
+        ids = {c: get(c) for c in wanted}
+        slow: dict[str, tuple[str, ...]] = {}
+        new: dict[str, bytes] = {}
+        for chunk in [c for c, found in ids.items() if found is None]:
+            found = get_old(chunk)
+            if found is None:
+                slow[chunk] = parts = (chunk,) if self.added is not None and self.added.search(chunk) else _parts(chunk)
+                for form in parts:
+                    known = get(form) or get_old(form)
+                    if known is None:
+                        new[form] = b""
+                    else:
+                        new.setdefault(form, known)
+            else:
+                ids[chunk] = found
+                self._keep(chunk, found)
+        unknown = [form for form, known in new.items() if not known]
+        for form, found in zip(unknown, self._coded(unknown), strict=True):
+            new[form] = found
+            self._keep(form, found)
+        for chunk, parts in slow.items():
+            ids[chunk] = found = new[parts[0]] if len(parts) == 1 else b"".join([new[form] for form in parts])
+            self._keep(chunk, found)
+        return ids
+
+
+@lru_cache(maxsize=2)
+def _chunks(path: str, special: bool) -> Chunks:
+    return Chunks(path, special)
+
+
+def encode_texts(values: list[str], path: str, special: bool = True) -> list[np.ndarray]:
     """Ids of texts by a tokenizer that lower-cases, and for which white space only separates: chunks between blanks are encoded once and remembered.
 
-    Chunks met since the last change of generation are kept with those of the generation before. With `special`, special
-    tokens written out in a text are their one id; chunks that hold one, in any case, are encoded as they stand.
+    With `special`, special tokens written out in a text are their one id; chunks that hold one, in any case, are encoded
+    as they stand.
     """
-    tokenizer, added = _tokenizer(path, special)
-    young, old = _KEPT.get((path, special), ({}, {}))
-    if len(young) > CHUNKS_KEPT:
-        young, old = {}, young
-    _KEPT[path, special] = young, old
-    split, new = [], {}
-    for text in values:
-        parts: list[str] = []
-        whole = added is not None and added.search(text) is not None
-        for chunk in _CHUNK.findall(text):
-            if chunk in young:
-                parts.append(chunk)
-                continue
-            for part in (chunk,) if whole and added.search(chunk) else _parts(chunk):
-                if part not in young and part not in new:
-                    if part in old:
-                        young[part] = old[part]
-                    else:
-                        new[part] = b""
-                parts.append(part)
-        split.append(parts)
-    unknown = list(new)
-    for start in range(0, len(unknown), 20_000):
-        part = unknown[start : start + 20_000]
-        new.update((c, np.array(e.ids, dtype=np.uint32).tobytes()) for c, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
-    young.update((c, ids) for c, ids in new.items() if len(c) <= 64)
-    out = []
-    for parts in split:
-        out.append(np.frombuffer(b"".join([young[p] if p in young else new[p] for p in parts]), dtype=np.uint32).astype(np.int64))
-    return out
+    split = [_CHUNK.findall(text) for text in values]
+    ids = _chunks(path, special).of(set().union(*split))
+    return [np.frombuffer(b"".join([ids[c] for c in parts]), dtype=np.uint32).astype(np.int64) for parts in split]
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -124,11 +173,11 @@ class Projection:
         return np.clip((0.5 + 0.5 * np.tanh(4 * mean)) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
-def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str = "text", doc_id: str = "doc_id", special: bool = False) -> DataFrame:
+def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str = "text", doc_id: str = "doc_id", special: bool = True) -> DataFrame:
     """Pieces (doc_id, piece_start, piece_length, piece_ids, doc_tokens, sequence_id, offset) of sequences of `length` tokens.
 
     A document is its ids by the tokenizers file `path` and then the id `end`; null and empty texts are that id alone.
-    Special tokens written out in a text are plain text, or with `special` their one id, as in a plain call of the tokenizer.
+    Special tokens written out in a text are their one id, as in a plain call of the tokenizer; without `special` they are plain text.
     Documents are laid one after another along a Hilbert curve through their projected vectors, so neighbours in a sequence
     resemble each other, and the line is cut every `length` tokens: only the last sequence may be short. piece_ids are
     little-endian unsigned numbers of 32 bits. Rows are kept apart even if they share a doc_id; a null doc_id stays null;
