@@ -22,7 +22,7 @@ _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _GAP = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Postings, and bytes of text, after which a task spills its block; terms of one row of a run; bytes of a text that are read at once.
-POSTINGS, READ, ROW, PIECE = 400_000, 128 << 20, 128, 4 << 20
+POSTINGS, READ, ROW, PIECE = 800_000, 128 << 20, 128, 4 << 20
 #: A probability is a whole number of parts of this.
 PARTS = 1_000_000_000
 
@@ -38,15 +38,14 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings held in memory: occurrences of each term by language and source, and documents by language."""
+    """Postings held in memory: for each group (language, source), the occurrences of its terms and the documents that have them."""
 
     def __init__(self) -> None:
-        self.counts: dict[tuple[str, str], Counter] = {}
-        self.docs: dict[str, Counter] = {}
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         self.postings = self.bytes = 0
 
     def add(self, lang: str, source: str, text: bytes) -> None:
-        counts, docs = self.counts.setdefault((lang, source), Counter()), self.docs.setdefault(lang, Counter())
+        counts, docs = self.groups.setdefault((lang, source), (Counter(), Counter()))
         before, seen = len(counts), set()
         for found in terms(text):
             counts.update(found)
@@ -59,27 +58,41 @@ class Block:
         return self.postings >= POSTINGS or self.bytes >= READ
 
     def runs(self, shards: int) -> Iterator[tuple]:
-        """The block as rows (shard, lang, first, terms, docs, n, names, source, count), sorted by term within shard and language."""
-        for lang, docs in self.docs.items():
-            own = {s: c for (name, s), c in self.counts.items() if name == lang}
-            names = sorted(own)
-            postings: dict[bytes, list[tuple[int, int]]] = {term: [] for term in docs}
-            for k, name in enumerate(names):
-                for term, c in own[name].items():
-                    postings[term].append((k, c))
+        """The block as rows (shard, lang, source, terms, docs, counts), sorted by term within each shard of a group."""
+        for (lang, source), (counts, docs) in self.groups.items():
             by: list[list[bytes]] = [[] for _ in range(shards)]
-            for term in docs:
+            for term in sorted(counts):
                 by[zlib.crc32(term) % shards].append(term)
             for shard, listed in enumerate(by):
-                listed.sort()
                 for start in range(0, len(listed), ROW):
                     part = listed[start : start + ROW]
-                    held = [x for term in part for x in postings[term]]
-                    yield shard, lang, part[0], part, [docs[t] for t in part], [len(postings[t]) for t in part], names, [k for k, _ in held], [c for _, c in held]
+                    yield shard, lang, source, part, [docs[t] for t in part], [counts[t] for t in part]
 
 
-_RUN = "shard int, lang string, first binary, terms array<binary>, docs array<long>, n array<int>, names array<string>, source array<int>, count array<long>"
-_ARROW = [pa.int32(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+_RUN = "shard int, lang string, source string, first binary, terms array<binary>, docs array<long>, counts array<long>"
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    sizes = [len(r[3]) for r in rows]
+    flat = lambda k, kind: pa.array([x for r in rows for x in r[k]], kind)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    lists_ = [pa.ListArray.from_arrays(offsets, flat(k, kind)) for k, kind in ((3, pa.binary()), (4, pa.int64()), (5, pa.int64()))]
+    head = [pa.array([r[k] for r in rows], kind) for k, kind in ((0, pa.int32()), (1, pa.string()), (2, pa.string()))]
+    return pa.RecordBatch.from_arrays([*head, pa.array([r[3][0] for r in rows], pa.binary()), *lists_], names=[x.split()[0] for x in _RUN.split(", ")])
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch. Terms are cut from the buffer they arrive in."""
+    listed = batch.column("terms")
+    flat = listed.flatten()
+    ends = np.cumsum(listed.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    place = np.frombuffer(flat.buffers()[1], dtype=np.int32)[flat.offset : flat.offset + len(flat) + 1].tolist() if len(flat) else []
+    data = memoryview(flat.buffers()[2]) if len(flat) else b""
+    docs, counts = (batch.column(c).flatten().to_numpy(zero_copy_only=False).tolist() for c in ("docs", "counts"))
+    low = 0
+    for shard, lang, source, high in zip(*(batch.column(c).to_pylist() for c in ("shard", "lang", "source")), ends, strict=True):
+        yield shard, lang, source, [bytes(data[place[i] : place[i + 1]]) for i in range(low, high)], docs[low:high], counts[low:high]
+        low = high
 
 
 def _rows(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
@@ -89,7 +102,6 @@ def _rows(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.R
 
 def runs(df: DataFrame, shards: int = 128) -> DataFrame:
     """Term-sorted runs of postings of the columns (lang, source, _text), spilled by each task whenever its block is full."""
-    names = [x.split()[0] for x in _RUN.split(", ")]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block()
@@ -98,10 +110,11 @@ def runs(df: DataFrame, shards: int = 128) -> DataFrame:
             waiting: list[tuple] = []
             for row in block.runs(shards):
                 waiting.append(row)
-                if len(waiting) >= 256:
-                    yield _rows(waiting, _ARROW, names)
+                if len(waiting) >= 512:
+                    yield _packed(waiting)
                     waiting = []
-            yield _rows(waiting, _ARROW, names)
+            if waiting:
+                yield _packed(waiting)
 
         for whole in batches:
             for batch in pieces(whole, "_text"):
@@ -115,38 +128,40 @@ def runs(df: DataFrame, shards: int = 128) -> DataFrame:
     return df.select("lang", "source", "_text").mapInArrow(index, _RUN)
 
 
-def merged(rows: Iterator[tuple]) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
-    """(lang, term, documents, occurrences by source) of rows of runs that are sorted by shard, language and first term.
+def merged(rows: Iterator[tuple], least_docs: int = 1) -> Iterator[tuple[str, bytes, dict[str, int]]]:
+    """(lang, term, occurrences by source) of the terms in at least `least_docs` documents, from rows of runs sorted by shard, language and first term.
 
-    A row is opened once the heap holds no smaller term, so only rows whose ranges overlap are in memory: one of each run at most.
+    A row is opened once the heap holds no smaller term, so only rows whose ranges overlap are in memory: one of each run
+    and group at most.
     """
-    heap: list[tuple[bytes, int, int, int, tuple]] = []
+    heap: list[tuple[bytes, int, int, tuple]] = []
     place = None
     opened = 0
 
-    def drain(limit: bytes | None) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
+    def drain(limit: bytes | None) -> Iterator[tuple[str, bytes, dict[str, int]]]:
         while heap and (limit is None or heap[0][0] < limit):
-            term, docs, by = heap[0][0], 0, {}
+            term, docs, met = heap[0][0], 0, []
             while heap and heap[0][0] == term:
-                _, number, at, posting, row = heap[0]
-                after = posting + row[5][at]
+                _, number, at, row = heap[0]
                 docs += row[4][at]
-                for k, c in zip(row[7][posting:after], row[8][posting:after], strict=True):
-                    name = row[6][k]
-                    by[name] = by.get(name, 0) + c
+                met.append((row[2], row[5][at]))
                 if at + 1 < len(row[3]):
-                    heapq.heapreplace(heap, (row[3][at + 1], number, at + 1, after, row))
+                    heapq.heapreplace(heap, (row[3][at + 1], number, at + 1, row))
                 else:
                     heapq.heappop(heap)
-            yield place[1], term, docs, by
+            if docs >= least_docs:
+                by: dict[str, int] = {}
+                for source, count in met:
+                    by[source] = by.get(source, 0) + count
+                yield place[1], term, by
 
     for row in rows:
         if (row[0], row[1]) != place:
             yield from drain(None)
             place = (row[0], row[1])
-        yield from drain(row[2])
+        yield from drain(row[3][0])
         opened += 1
-        heapq.heappush(heap, (row[2], opened, 0, 0, row))
+        heapq.heappush(heap, (row[3][0], opened, 0, row))
     yield from drain(None)
 
 
@@ -162,17 +177,12 @@ def frequencies(df: DataFrame, least_docs: int = 3, shards: int = 128) -> DataFr
         names, kinds = ["lang", "term", "total", "postings"], [pa.string(), pa.string(), pa.int64(), pa.list_(pa.struct([("source", pa.string()), ("count", pa.int64())]))]
         waiting: list[tuple] = []
 
-        def listed() -> Iterator[tuple]:
-            for batch in batches:
-                for start in range(0, batch.num_rows, 16):
-                    yield from zip(*(c.to_pylist() for c in batch.slice(start, 16).columns), strict=True)
-
-        for lang, term, docs, by in merged(listed()):
-            if docs >= least_docs:
-                waiting.append((lang, term.decode("utf-8", "replace"), sum(by.values()), list(by.items())))
-                if len(waiting) >= 4096:
-                    yield _rows(waiting, kinds, names)
-                    waiting = []
+        listed = (row for batch in batches for start in range(0, batch.num_rows, 64) for row in _unpacked(batch.slice(start, 64)))
+        for lang, term, by in merged(listed, least_docs):
+            waiting.append((lang, term.decode("utf-8", "replace"), sum(by.values()), list(by.items())))
+            if len(waiting) >= 4096:
+                yield _rows(waiting, kinds, names)
+                waiting = []
         yield _rows(waiting, kinds, names)
 
     return sent.repartition("shard").sortWithinPartitions("shard", "lang", "first").mapInArrow(merge, "lang string, term string, total long, postings array<struct<source: string, count: long>>")
