@@ -20,7 +20,7 @@ PSEUDONYM_KEY = "corpus-release-1"
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a letter. Those without, and null texts, have no language and go. `lang` becomes the predicted one where it is null."""
     prototypes = langid.fit(docs.filter(~langid.held_out()))
-    said = langid.predict(docs.select(*COLUMNS, F.col("text").alias("_body")), prototypes, text="_body", lang_pred="_lang", score="_score")
+    said = langid.predict(docs.select(*COLUMNS), prototypes, lang_pred="_lang", score="_score")
     known = F.col("_lang") != langid.UNKNOWN if prototypes else F.col("text").rlike(r"\p{L}")
     return said.filter(known).select(*[F.coalesce("lang", F.when(F.col("_lang") != langid.UNKNOWN, F.col("_lang"))).alias("lang") if c == "lang" else F.col(c) for c in COLUMNS])
 
@@ -47,7 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048 along a Hilbert curve."""
-    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), special=True)
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return found.select("doc_id", F.col("piece_start").alias("start"), F.col("piece_length").alias("length"), F.crc32("piece_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
