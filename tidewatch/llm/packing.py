@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ _MARKS = ".,;:!?"
 #: Stands between chunks that are encoded together.
 _MARK = "\u241e"
 #: Chunks of text whose ids a Python worker keeps in each of two generations. Bounds memory, not results.
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 600_000
 
 
 @lru_cache(maxsize=4)
@@ -38,6 +39,18 @@ def _tokenizer(path: str, special: bool):
     return tokenizer, re.compile("|".join(added), re.IGNORECASE) if added else None
 
 
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_COMPOSED = re.compile("[\u0300-\U0010ffff]")
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _low(text: str) -> str:
+    """The text with A-Z in lower case, where that leaves the ids of a tokenizer that lower-cases as they are: not before characters that letters may be composed with."""
+    if text.isascii():
+        return text.lower()
+    return text if _COMPOSED.search(text) else text.encode().translate(_LOWER).decode()
+
+
 def _parts(chunk: str) -> tuple[str, ...]:
     """A chunk in the form in which it is remembered: ASCII in lower case, marks after a letter or digit apart; both give the same ids."""
     low = chunk.lower() if chunk.isascii() else chunk
@@ -55,12 +68,39 @@ class Chunks:
         alone, apart = (self._alone([x])[0] for x in (_MARK, f"a {_MARK} a"))
         self.mark = np.frombuffer(alone, dtype=np.uint32)
         self.joins = len(alone) > 0 and apart == self._alone(["a"])[0] + alone + self._alone(["a"])[0]
+        self.letters = self._byte_letters()
 
     def _alone(self, forms: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(forms, add_special_tokens=False)]
 
+    def _byte_letters(self) -> dict[int, str]:
+        """The letters by which a byte-level model writes bytes, if plain words then give the same ids as by the whole tokenizer; else none. Tried with words made of the vocabulary's own tokens."""
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printed)}
+        tokens = sorted({t for t in (x.removesuffix("</w>") for x in self.tokenizer.get_vocab()) if re.fullmatch("[a-z]+", t)})[::40]
+        tried = [a + b for a, b in zip(tokens, ["é", "ß", "", "ing", "àç", *tokens], strict=False)]
+        try:
+            return letters if [self._modelled(w, letters) for w in tried] == self._alone(tried) else {}
+        except Exception:
+            return {}
+
+    def _modelled(self, word: str, letters: dict[int, str]) -> bytes:
+        model = self.tokenizer.model
+        return array("I", [t.id for t in model.tokenize(word if word.isascii() else "".join([letters[b] for b in word.encode()]))]).tobytes()
+
     def _coded(self, forms: list[str], at_once: int = 256) -> list[bytes]:
-        """Ids of forms. Many go to the tokenizer as one line with a mark of known ids between them, unless one holds the mark or a special token."""
+        """Ids of forms. Plain words go to the tokenizer's model; of the others many go to the tokenizer as one line with a mark of known ids between them, unless one holds the mark or a special token."""
+        model, letters = self.tokenizer.model, self.letters
+        if letters:
+            plain = [f for f in forms if _PLAIN.fullmatch(f)]
+            words = [f if f.isascii() else "".join([letters[b] for b in f.encode()]) for f in plain]
+            known = {f: array("I", [t.id for t in model.tokenize(w)]).tobytes() for f, w in zip(plain, words, strict=True)}
+            others = [f for f in forms if f not in known]
+            known.update(zip(others, self._lines(others, at_once), strict=True))
+            return [known[f] for f in forms]
+        return self._lines(forms, at_once)
+
+    def _lines(self, forms: list[str], at_once: int) -> list[bytes]:
         plain = [f for f in forms if _MARK not in f and (self.added is None or not self.added.search(f))] if self.joins else []
         lines = [plain[k : k + at_once] for k in range(0, len(plain), at_once)]
         found: dict[str, bytes] = {}
@@ -80,38 +120,32 @@ class Chunks:
             found.update(zip(rest[start : start + 20_000], self._alone(rest[start : start + 20_000]), strict=True))
         return [found[f] for f in forms]
 
-    def _keep(self, chunk: str, ids: bytes) -> None:
-        if len(chunk) <= 64:
-            self.young[chunk] = ids
-
     def of(self, wanted: set[str]) -> dict[str, bytes]:
         """The ids of distinct chunks: looked up as they stand, then by their reduced forms; forms that are not known go to the tokenizer together."""
         if len(self.young) >= CHUNKS_KEPT:
             self.young, self.old = {}, self.young
-        get, get_old = self.young.get, self.old.get
+        young, get, get_old, plain = self.young, self.young.get, self.old.get, _PLAIN.fullmatch
         ids = {c: get(c) for c in wanted}
         slow: dict[str, tuple[str, ...]] = {}
-        new: dict[str, bytes] = {}
+        new: dict[str, bytes | None] = {}
         for chunk in [c for c, found in ids.items() if found is None]:
             found = get_old(chunk)
-            if found is None:
+            if found is not None:
+                ids[chunk] = young[chunk] = found
+            elif plain(chunk):
+                new[chunk] = None
+            else:
                 slow[chunk] = parts = (chunk,) if self.added is not None and self.added.search(chunk) else _parts(chunk)
                 for form in parts:
-                    known = get(form) or get_old(form)
-                    if known is None:
-                        new[form] = b""
-                    else:
-                        new.setdefault(form, known)
-            else:
-                ids[chunk] = found
-                self._keep(chunk, found)
-        unknown = [form for form, known in new.items() if not known]
-        for form, found in zip(unknown, self._coded(unknown), strict=True):
-            new[form] = found
-            self._keep(form, found)
+                    if form not in new:
+                        new[form] = get(form) or get_old(form)
+        unknown = [form for form, known in new.items() if known is None]
+        coded = dict(zip(unknown, self._coded(unknown), strict=True))
+        new.update(coded)
+        ids.update((c, new[c]) for c in coded.keys() & ids.keys())
         for chunk, parts in slow.items():
-            ids[chunk] = found = new[parts[0]] if len(parts) == 1 else b"".join([new[form] for form in parts])
-            self._keep(chunk, found)
+            ids[chunk] = coded[chunk] = new[parts[0]] if len(parts) == 1 else b"".join([new[form] for form in parts])
+        young.update((c, found) for c, found in coded.items() if len(c) <= 64)
         return ids
 
 
@@ -126,8 +160,9 @@ def encode_texts(values: list[str], path: str, special: bool = True) -> list[np.
     With `special`, special tokens written out in a text are their one id; chunks that hold one, in any case, are encoded
     as they stand.
     """
-    split = [_CHUNK.findall(text) for text in values]
-    ids = _chunks(path, special).of(set().union(*split))
+    chunks = _chunks(path, special)
+    split = [_CHUNK.findall(text if chunks.added is not None and chunks.added.search(text) else _low(text)) for text in values]
+    ids = chunks.of(set().union(*split))
     return [np.frombuffer(b"".join([ids[c] for c in parts]), dtype=np.uint32).astype(np.int64) for parts in split]
 
 
@@ -191,7 +226,7 @@ def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         projection = Projection()
         for whole in batches:
-            for batch in pieces(whole, "_text", 2 << 20):
+            for batch in pieces(whole, "_text", 4 << 20):
                 found = encode_texts(texts(batch, "_text"), path, special)
                 places = hilbert(np.array([projection.point(ids) for ids in found]).reshape(len(found), AXES))
                 found = [np.append(ids, end) for ids in found]
