@@ -318,16 +318,77 @@ def test_guard_reports_payload_drift(spark):
 def test_cycle(spark, tmp_path):
     now = START + timedelta(hours=72)
     settings = Settings(forest_trees=20)
-    r = cycle.run_cycle(spark, str(tmp_path), orders(spark), events(spark), now, settings, lookback_hours=72).first()
+    ticks = iter(datetime(2024, 2, 1) + timedelta(minutes=i) for i in range(4))
+    run = lambda o: cycle.run_cycle(spark, str(tmp_path), o, events(spark), now, settings, lookback_hours=72, clock=lambda: next(ticks)).first()
+    r = run(orders(spark))
     assert r["ingestion"]["rows"] == 432 and r["ingestion"]["status"] == "SUCCESS"
-    assert r["anomalies_found"] >= 1 and 1 <= len(r["decisions"]) <= 3
+    assert r["anomalies_found"] >= 1 and r["decisions"] == r["anomalies_found"] == sum(r["priorities"])
     assert r["healing"]["drifts"] >= 1
-    again = orders(spark).where(F.col("order_ts") >= F.lit(START + timedelta(hours=70)))
-    cycle.run_cycle(spark, str(tmp_path), again, events(spark), now, settings, lookback_hours=72)
-    k = spark.read.parquet(f"{tmp_path}/kpi_snapshots")
+    run(orders(spark).where(F.col("order_ts") >= F.lit(START + timedelta(hours=70))))
+    k = readers.read_table(spark, str(tmp_path), "kpi_snapshots")
     assert k.count() == 144 and k.groupBy("snapshot_ts", "region", "category").count().where("count > 1").count() == 0
-    runs = sinks.latest_runs(spark.read.schema(schemas.TABLES["pipeline_runs"]).parquet(f"{tmp_path}/pipeline_runs"))
-    assert [x["status"] for x in runs.collect()] == ["SUCCESS", "SUCCESS"]
+    assert k.where(F.col("snapshot_ts") >= F.lit(START + timedelta(hours=70))).agg(F.sum("total_orders")).first()[0] == 24
+    runs = sinks.latest_runs(spark.read.schema(schemas.TABLES["pipeline_runs"]).parquet(f"{tmp_path}/pipeline_runs")).collect()
+    assert [x["status"] for x in runs] == ["SUCCESS", "SUCCESS"]
+    assert sorted((x["started_at"].minute, x["finished_at"].minute) for x in runs) == [(0, 1), (2, 3)]
+    assert readers.read_table(spark, str(tmp_path), "raw_orders").count() == 432 + 12
+    made = readers.read_table(spark, str(tmp_path), "agent_decisions")
+    assert made.where("priority is null or final_action is null or not decision_output like '%EXECUTIVE REVIEWER%'").count() == 0
+    assert not list(tmp_path.glob("*__staging*"))
+
+
+def dirty(spark, day: int = 0):
+    """Orders with gaps in one of two days, an unknown column, and text where numbers belong."""
+    o = orders(spark, 48).withColumn("order_ts", F.col("order_ts") + F.make_interval(days=F.lit(day)))
+    gap = F.to_date("order_ts") == F.lit((START + timedelta(days=day)).date())
+    return o.withColumns({
+        "customer_id": F.when(~(gap & (F.col("order_id") % 5 == 0)), F.col("customer_id")),
+        "unit_price": F.when(gap & (F.col("order_id") % 7 == 0), "n/a").otherwise(F.col("unit_price").cast("string")),
+        "surprise_col": F.col("order_id").cast("int"),
+    }).drop("payment_method")
+
+
+def drift_of(spark, path, run: int):
+    log = readers.read_table(spark, path, "schema_drift_log").collect()
+    times = sorted({r["detected_at"] for r in log})
+    return {(r["table_name"], r["column_name"], r["drift_type"]): (r["auto_healed"], r["validated"]) for r in log if r["detected_at"] == times[run]}
+
+
+def test_repair_is_written_audited_and_published(spark, tmp_path):
+    settings, path = Settings(forest_trees=0), str(tmp_path)
+    cycle.run_cycle(spark, path, dirty(spark), events(spark), START + timedelta(days=2), settings)
+    first = drift_of(spark, path, 0)
+    for key in [("customer_id", "NULL_VIOLATION"), ("unit_price", "NULL_VIOLATION"), ("surprise_col", "NEW_COLUMN"), ("payment_method", "DROPPED_COLUMN")]:
+        assert first[("raw_orders", *key)] == (True, True), key
+    assert first[("raw_orders", "unit_price", "TYPE_CHANGE")] == (False, False)
+    stored = readers.read_table(spark, path, "raw_orders")
+    assert stored.count() == 288 and stored.where("customer_id is null or unit_price is null").count() == 0
+    assert stored.where("customer_id = 0 and order_id % 5 = 0 and order_date = '2024-01-01'").count() >= 29
+    assert stored.where("unit_price = 0").count() == 21
+    plan = readers.read_table(spark, path, "raw_orders").where("order_date = '2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan
+
+    # The same batch form again, a day later: what was repaired or tagged is not reported again, clean partitions are not rewritten.
+    files = {f.name for f in tmp_path.glob("raw_orders/order_date=2024-01-01/*.parquet")}
+    clean = dirty(spark, 3).withColumn("customer_id", F.lit(7)).withColumn("unit_price", F.lit("12.5"))
+    cycle.run_cycle(spark, path, clean, events(spark), START + timedelta(days=5), settings)
+    assert drift_of(spark, path, 1).keys() & {k for k, v in first.items() if v[0]} == set()
+    assert {f.name for f in tmp_path.glob("raw_orders/order_date=2024-01-01/*.parquet")} == files
+    again = sinks.read_raw(spark, f"{path}/raw_orders", "raw_orders", sinks.read_baseline(spark, f"{path}/schema_baseline")["raw_orders"])
+    assert again.count() == 576 and again.where("surprise_col is null").count() == 0
+
+
+def test_repair_that_fails_its_audit_is_not_published(spark):
+    from tidewatch.operators import healing
+
+    part = spark.createDataFrame([(1, 1, "a"), (None, 1, "b"), (3, 2, "c")], "customer_id long, d int, x string")
+    published = []
+    log = healing.heal_partitions(part, "raw_orders", "d", lambda df: df.where("x <> 'a'"), published.append, {"customer_id": "BIGINT"})
+    assert not published and log == [("raw_orders", "customer_id", "NULL_VIOLATION", "NOT NULL", "1 NULL rows found", False, False, "rows lost in staging")]
+    log = healing.heal_partitions(part, "raw_orders", "d", lambda df: part.where("d = 1"), published.append, {"customer_id": "BIGINT"})
+    assert not published and log[0][-1] == "nulls left in staging"
+    log = healing.heal_partitions(part, "raw_orders", "d", lambda df: df, published.append, {"customer_id": "BIGINT"})
+    assert [r["customer_id"] for r in published[0].orderBy("x").collect()] == [1, 0] and log[0][5:] == (True, True, None)
 
 
 def test_failed_cycle_is_logged(spark, tmp_path):

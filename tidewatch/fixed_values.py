@@ -104,20 +104,6 @@ VERDICTS = {
     "quiet": ("✅ APPROVE — No action required", "No action — system nominal."),
 }
 
-# Offline texts of the three scripted agents.
-SCRIPTED_ANALYST = (
-    "ANALYST FINDING: The observed KPI deviation indicates a statistically "
-    "significant anomaly (z-score > 3σ). The spike in revenue is localised to "
-    "the Electronics category in the North region, occurring within a 2-hour "
-    "window. Pattern is consistent with a flash-sale event or bot-driven bulk order."
-)
-SCRIPTED_CAUSAL = (
-    "CAUSAL FINDING: Root-cause analysis confirms that avg_discount (treatment) "
-    "has a strong causal effect on revenue (outcome) with ATE=124.5 and "
-    "confidence=87%. The discount lever triggered a non-linear demand surge, "
-    "amplified by low inventory constraints. Confidence: HIGH."
-)
-
 # Expected columns and type fragments per managed table.
 EXPECTED_SCHEMAS = {
     "raw_orders": {

@@ -100,10 +100,10 @@ def detect(kpi: DataFrame, settings: Settings = Settings(), include_current: boo
     """Both detectors together: one event per region, category and metric, largest |z| first.
 
     The forest is fitted on all of ``kpi`` and scores its newest hours. Fitting
-    runs jobs; pass a persisted or stored rollup.
+    runs jobs; pass a persisted or stored rollup. Without trees in the settings only the z-scores count.
     """
     by_z = zscore_anomalies(kpi, settings, include_current=include_current)
-    model = forest.fit(kpi, settings=settings)
+    model = forest.fit(kpi, settings=settings) if settings.forest_trees else None
     if model is None:
         events = union_events(by_z)
     else:

@@ -145,7 +145,7 @@ def _causal_text() -> Column:
     return F.when(F.size("top") > 0, full).otherwise(none)
 
 
-def _decision_text() -> Column:
+def _decision_text(confidence: str = "confidence") -> Column:
     rule = F.lit(X.RULE)
 
     def line(label: str, value: Column) -> Column:
@@ -155,7 +155,7 @@ def _decision_text() -> Column:
         "\n",
         rule, F.lit("  EXECUTIVE REVIEWER — VERDICT"), rule, F.lit(""),
         line("  VERDICT    : ", F.col("verdict")), line("  PRIORITY   : ", F.col("priority")),
-        F.concat(F.lit("  CONFIDENCE : "), X.percent("confidence"), F.lit("   AGENTS: 3/3 consensus")), F.lit(""),
+        F.concat(F.lit("  CONFIDENCE : "), X.percent(confidence), F.lit("   AGENTS: 3/3 consensus")), F.lit(""),
         F.lit("  ANOMALY BREAKDOWN:"),
         F.format_string("    Critical: %d  |  High: %d  |  Medium: %d", "n_critical", "n_high", "n_medium"), F.lit(""),
         F.lit("  RECOMMENDED ACTION:"), line("  ", F.col("final_action")), rule,
@@ -197,7 +197,7 @@ def council(kpi: DataFrame, anomalies: DataFrame, by: Sequence[str] = ()) -> Dat
     )
 
 
-# -- prompts and scripted agents -----------------------------------------------------------
+# -- prompts and decision records -----------------------------------------------------------
 
 
 def prompt_table(anomalies: DataFrame) -> DataFrame:
@@ -233,30 +233,49 @@ def council_prompt(kpi: DataFrame, anomalies: DataFrame) -> DataFrame:
     )
 
 
-def scripted_findings(
+def rule_based(anomalies: DataFrame, kpi: DataFrame) -> DataFrame:
+    """Each anomaly with the three reports, priority, action and confidence that the council would give it alone.
+
+    Row by row, without a shuffle: counts and lists of a group of one are column expressions, the KPI baseline is one scalar
+    subquery. A cause that is attached (``explanation``) ends the effect report.
+    """
+    sev = F.col("severity")
+    pick = F.struct("metric_name", F.col("region").alias("at_region"))
+    fields = ["metric_name", "metric_value", "expected_value", "z_score", "severity", "region", "category"]
+    base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
+    own = {
+        "n_anomalies": F.lit(1), "n_critical": (sev == "CRITICAL").cast("int"), "n_high": (sev == "HIGH").cast("int"),
+        "n_medium": (sev == "MEDIUM").cast("int"), "max_z": F.abs("z_score"), "top_critical": F.when(sev == "CRITICAL", pick),
+        "top_high": F.when(sev == "HIGH", pick), "top": F.array(F.struct(F.lit(1).alias("_rank"), *fields)),
+        **{f"_{m}": base.getField(m) for m in fv.BASELINE_METRICS},
+    }
+    judged = _judged(anomalies.withColumns(own)).withColumn("analyst_confidence", _analyst_confidence())
+    effect = _causal_text()
+    if "explanation" in anomalies.columns:
+        effect = F.concat(effect, F.coalesce(F.concat(F.lit("\n"), F.col("explanation")), F.lit("")))
+    texts = {"analyst_output": _analyst_text(), "causal_output": effect, "decision_output": _decision_text("analyst_confidence")}
+    return judged.withColumns(texts).drop(*own)
+
+
+def decision_records(
     anomalies: DataFrame,
+    kpi: DataFrame,
     settings: Settings = Settings(),
     model: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Decision record per anomaly: three agent texts, their history, priority and action.
+    """Decision record per anomaly: three texts, their history, priority and action.
 
-    Without a model the offline texts are used. As in the offline mode they
-    stand in for, the question to the last agent contains the anomaly report,
-    so it is answered with the analyst's text. A caller's ``model`` gets the
+    By default the rules decide (:func:`rule_based`). A caller's ``model`` gets the
     prompt table and returns it with ``analyst_output``, ``causal_output`` and
-    ``decision_output`` (for example through ``mapInPandas``).
+    ``decision_output`` (for example through ``mapInPandas``); priority and action
+    are then read from its texts.
     """
-    asked = prompt_table(anomalies)
     if model is None:
-        answered = asked.withColumns(
-            {
-                "analyst_output": F.lit(fv.SCRIPTED_ANALYST),
-                "causal_output": F.lit(fv.SCRIPTED_CAUSAL),
-                "decision_output": F.lit(fv.SCRIPTED_ANALYST),
-            }
-        )
+        answered = rule_based(anomalies, kpi)
     else:
-        answered = model(asked)
+        answered = model(prompt_table(anomalies)).withColumns(
+            {"priority": S.extract_priority("decision_output"), "final_action": S.extract_action("decision_output")}
+        )
 
     def entry(agent: str, rnd: int, text: str) -> Column:
         return F.struct(
@@ -267,14 +286,7 @@ def scripted_findings(
     revisions = [entry("Analyst", r, "analyst_output") for r in range(2, settings.debate_rounds + 1)]
     said = F.filter(F.array(*revisions), lambda e: F.length(e["content"]) > 20) if revisions else F.array().cast(schemas.HISTORY)
     history = F.concat(F.array(*first), said, F.array(entry("Decision", 1, "decision_output")))
-    return answered.withColumns(
-        {
-            "debate_history": history,
-            "priority": S.extract_priority("decision_output"),
-            "final_action": S.extract_action("decision_output"),
-            "status": F.lit("PENDING"),
-        }
-    )
+    return answered.withColumns({"debate_history": history, "status": F.lit("PENDING")})
 
 
 def agents_in(history: str | Column) -> Column:

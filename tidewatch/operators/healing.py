@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -227,3 +227,69 @@ def heal(
     plan = heal_plan(drifts, setops.expected_rows(spark, {table: wanted})).select("table_name", "column_name", "drift_type", "heal_query")
     results = rows.join(plan, ["table_name", "column_name", "drift_type"], "left").withColumn("detected_at", F.lit(now))
     return healed, results
+
+
+# -- repair of a stored table ---------------------------------------------------------------
+
+LOG = (
+    "table_name string, column_name string, drift_type string, old_definition string, new_definition string, "
+    "auto_healed boolean, validated boolean, error string"
+)
+
+
+def partition_nulls(df: DataFrame, partition: str, columns: Sequence[str]) -> DataFrame:
+    """Rows and nulls of the checked columns per partition, from one scan of these columns."""
+    return df.groupBy(partition).agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+
+
+def heal_partitions(
+    stored: DataFrame,
+    table: str,
+    partition: str,
+    stage: Callable[[DataFrame], DataFrame],
+    publish: Callable[[DataFrame], None],
+    expected: Mapping[str, str],
+    checks: Sequence[tuple[str, str]] = fv.NOT_NULL_CHECKS,
+) -> list[tuple]:
+    """Write, audit, publish: repairs the null violations of ``stored`` and returns the log rows.
+
+    Only partitions with a violation are rewritten: their repaired rows go to a
+    staging table (``stage`` writes it and gives it back), a second scan of the
+    staging table counts rows and nulls again, and only if each partition has as
+    many rows as before and no null is left, ``publish`` replaces them. Otherwise
+    the table stays as it is and the log says so. The counts reach the driver as
+    one row per scanned partition.
+    """
+    columns = [c for t, c in checks if t == table and c in stored.columns]
+    if not columns:
+        return []
+    before = {r[partition]: r for r in partition_nulls(stored, partition, columns).where(" or ".join(f"`{c}` > 0" for c in columns)).collect()}
+    if not before:
+        return []
+    nulls = {c: sum(r[c] for r in before.values()) for c in columns}
+    broken = {c: expected.get(c, "NUMERIC") for c, n in nulls.items() if n}
+    staged = stage(heal_fill_nulls(stored.where(F.col(partition).isin(list(before))), broken))
+    after = {r[partition]: r for r in partition_nulls(staged, partition, columns).collect()}
+    sound = after.keys() == before.keys() and all(after[k]["_rows"] == before[k]["_rows"] for k in before)
+    left = {c: sum(r[c] for r in after.values()) for c in columns}
+    fine = sound and not any(left.values())
+    if fine:
+        publish(staged)
+    error = None if fine else "rows lost in staging" if not sound else "nulls left in staging"
+    return [(table, c, "NULL_VIOLATION", "NOT NULL", f"{nulls[c]} NULL rows found", fine, fine and left[c] == 0, error) for c in broken]
+
+
+def schema_log(drift: DataFrame, table: str) -> list[tuple]:
+    """Log rows of the schema drift of a batch: dropped columns are added on writing, new ones are tagged, changed types wait for a person."""
+    return [
+        (*[r[c] for c in DRIFT_COLUMNS], auto, auto, None if auto else "No auto-heal strategy")
+        for r in drift.where(F.col("table_name") == table).collect()  # as many rows as columns
+        for auto in [r["drift_type"] != "TYPE_CHANGE"]
+    ]
+
+
+def as_log(spark: SparkSession, rows: Sequence[tuple], expected: Mapping[str, Mapping[str, str]], now: datetime) -> DataFrame:
+    """Log rows with the statement that words each repair."""
+    log = spark.createDataFrame(list(rows), LOG)
+    plan = heal_plan(log.select(*DRIFT_COLUMNS), setops.expected_rows(spark, expected)).select("table_name", "column_name", "drift_type", "heal_query")
+    return log.join(plan, ["table_name", "column_name", "drift_type"], "left").withColumn("detected_at", F.lit(now))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import schemas
 from tidewatch.operators import windows
-from tidewatch.session import path_exists
+from tidewatch.session import path_exists, remove_path
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
@@ -33,6 +35,44 @@ def shape(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+# Raw tables: their time column, the date column that partitions them, and the date of rows without a time.
+RAW_PARTITIONS = {"raw_orders": ("order_ts", "order_date"), "raw_events": ("event_ts", "event_date")}
+NO_DATE = "1970-01-01"
+
+
+def shape_raw(df: DataFrame, table: str, tagged: Mapping[str, str] = {}) -> DataFrame:
+    """A raw batch in the form in which it is stored: declared columns in order and type, then tagged ones in theirs, then the partition date.
+
+    A cell that cannot be cast becomes NULL, so the null checks see it. Declared columns that are missing are added, booleans as false.
+    """
+    time, date = RAW_PARTITIONS[table]
+    have = dict(df.dtypes)
+
+    def declared(f: T.StructField) -> Column:
+        if f.name not in have:
+            return F.lit(False if f.dataType.simpleString() == "boolean" else None).cast(f.dataType).alias(f.name)
+        return F.col(f.name).try_cast(f.dataType).alias(f.name)
+
+    rest = [F.col(f"`{c}`").try_cast(k).alias(c) for c, k in tagged.items() if c in have and c not in schemas.TABLES[table].names]
+    shaped = df.select(*[declared(f) for f in schemas.TABLES[table].fields], *rest)
+    return shaped.withColumn(date, F.coalesce(F.to_date(time), F.to_date(F.lit(NO_DATE))))
+
+
+def raw_schema(table: str, extra: Mapping[str, str]) -> T.StructType:
+    """Schema under which a raw table is read: declared columns, columns added since by name and type, partition date."""
+    schema = T.StructType(list(schemas.TABLES[table].fields))
+    for name, kind in extra.items():
+        if name not in schema.names:
+            schema = schema.add(name, T.DataType.fromDDL(kind))
+    return schema.add(RAW_PARTITIONS[table][1], "date")
+
+
+def read_raw(spark: SparkSession, path: str, table: str, extra: Mapping[str, str], dates: Sequence | None = None) -> DataFrame:
+    """A stored raw table, or only the partitions of the given dates."""
+    df = spark.read.schema(raw_schema(table, extra)).parquet(path)
+    return df if dates is None else df.where(F.col(RAW_PARTITIONS[table][1]).isin(list(dates)))
+
+
 # -- snapshots ----------------------------------------------------------------------
 
 SNAPSHOT_KEYS = ("snapshot_ts", "period", "region", "category")
@@ -61,6 +101,7 @@ def upsert_snapshots(
     path: str,
     partition: str = "snapshot_date",
     keys: Sequence[str] = SNAPSHOT_KEYS,
+    run_id: str | None = None,
 ) -> None:
     """Merge into a date-partitioned table, rewriting only the partitions that change.
 
@@ -75,15 +116,20 @@ def upsert_snapshots(
     current = spark.read.option("mergeSchema", "true").parquet(path)
     touched = incoming.select(partition).distinct()
     affected = current.join(touched, partition, "left_semi")
-    staging = f"{path.rstrip('/')}__staging"
+    staging = staging_path(path, run_id)
     merge_snapshots(affected, incoming, keys).write.mode("overwrite").partitionBy(partition).parquet(staging)
-    (
-        spark.read.parquet(staging)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    publish(spark.read.parquet(staging), path, partition)
+    remove_path(spark, staging)
+
+
+def staging_path(path: str, run_id: str | None = None) -> str:
+    """Folder beside a table for one run; runs never share it."""
+    return f"{path.rstrip('/')}__staging_{run_id or uuid.uuid4().hex}"
+
+
+def publish(staged: DataFrame, path: str, partition: str) -> None:
+    """Replaces the table's partitions that the staged frame holds, and no others."""
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 # -- records ------------------------------------------------------------------------
@@ -176,5 +222,32 @@ def append_audit(orders: DataFrame, path: str, now: Column) -> int:
 
 
 def write_report_json(report: DataFrame, path: str) -> None:
-    """One-row nested run summary as a single JSON document."""
+    """One-row nested run summary as a single JSON document. Lists go into files of their own, see :func:`write_lists_json`."""
     report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_lists_json(frames: Mapping[str, DataFrame], path: str) -> None:
+    """Each list of a report as JSON lines in a folder of its name, written by as many tasks as it has partitions."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")
+
+
+# -- columns added since ------------------------------------------------------------------
+
+BASELINE = "table_name string, column_name string, spark_type string, comment string, tagged_at timestamp"
+
+
+def read_baseline(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Columns that were found and tagged by earlier runs: type by table and column. As many rows as such columns."""
+    if not path_exists(spark, path):
+        return {}
+    found: dict[str, dict[str, str]] = {}
+    for r in spark.read.schema(BASELINE).parquet(path).orderBy("tagged_at").collect():
+        found.setdefault(r["table_name"], {}).setdefault(r["column_name"], r["spark_type"])
+    return found
+
+
+def tag_columns(spark: SparkSession, table: str, columns: Mapping[str, str], path: str, now) -> int:
+    """Adds columns to the baseline, with a comment on where they come from; later runs know them."""
+    note = f"AUTO_DETECTED: new column added outside baseline schema at {now.isoformat()}"
+    return append(spark.createDataFrame([(table, c, kind, note, now) for c, kind in columns.items()], BASELINE), path)
