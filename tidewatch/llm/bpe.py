@@ -46,7 +46,7 @@ class Transducer:
     its speed and not its result.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 600_000):
         self.ranks, self.most = ranks, most
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.size = {rank: len(token) for token, rank in ranks.items()}
@@ -260,8 +260,8 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _MARKS = set("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 _CHUNK = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 
-#: Chunks, and words, that a Python worker keeps in each of two generations; longer ones are not kept; ids that are handed on at once. They bound memory, not results.
-KEPT, LONGEST, AT_ONCE = 100_000, 64, 1 << 18
+#: Words, and chunks, that a Python worker keeps in each of two generations; longer ones are not kept; ids that are handed on at once. They bound memory, not results.
+WORDS_KEPT, KEPT, LONGEST, AT_ONCE = 350_000, 200_000, 64, 1 << 18
 
 
 class Remembered:
@@ -299,7 +299,7 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         self.machine, self.split = Transducer(read_ranks(path)), splitter(pattern)
-        self.words = Remembered(lambda word: array("i", self.machine.encode(word.encode("utf-8", "surrogatepass"))).tobytes(), KEPT)
+        self.words = Remembered(lambda word: array("i", self.machine.encode(word.encode("utf-8", "surrogatepass"))).tobytes(), WORDS_KEPT)
         self.chunks = Remembered(self._chunk, KEPT)
         self.cut = pattern in CUT_AT_BLANKS
 
