@@ -161,11 +161,17 @@ def test_council_with_and_without_anomalies(spark):
     assert quiet["final_action"] == fv.VERDICTS["quiet"][1]
 
 
-def test_scripted_history(spark):
+def test_decision_records_equal_the_council_of_one(spark):
+    """Each anomaly gets what the council says about it alone; its attached cause ends the effect report."""
     a = anomalies(spark, ROWS).withColumns({"detected_at": F.lit("t"), "explanation": F.lit("why")})
-    r = decisions.scripted_findings(a).where("region = 'South'").first()
-    assert [(h["agent"], h["round"]) for h in r["debate_history"]] == [("Analyst", 1), ("Causal", 1), ("Analyst", 2), ("Decision", 1)]
-    assert r["priority"] == "P2" and "  Severity:  LOW" in r["prompt"]
+    said = decisions.decision_records(a, kpi(spark)).collect()
+    for r in said:
+        one = a.where((F.col("metric_name") == r["metric_name"]) & (F.col("region") == r["region"]))
+        alone = decisions.council(kpi(spark), one).first()
+        assert all(r[c] == alone[c] for c in ("priority", "final_action", "verdict", "analyst_output", "decision_output"))
+        assert r["causal_output"] == alone["causal_output"] + "\nwhy" and r["analyst_confidence"] == alone["confidence"]
+        assert [(h["agent"], h["round"]) for h in r["debate_history"]] == [("Analyst", 1), ("Causal", 1), ("Analyst", 2), ("Decision", 1)]
+    assert {r["priority"] for r in said} == {"P1", "P3", "P4"}
 
 
 def test_plugged_in_model(spark):
@@ -174,7 +180,7 @@ def test_plugged_in_model(spark):
     def model(asked):
         return asked.withColumns({"analyst_output": F.lit("ok"), "causal_output": F.lit("c"), "decision_output": F.lit("P0\n1) Act now")})
 
-    r = decisions.scripted_findings(a, model=model).first()
+    r = decisions.decision_records(a, kpi(spark), model=model).first()
     assert (r["priority"], r["final_action"]) == ("P0", "Act now")
     assert len(r["debate_history"]) == 3  # a revision of 20 characters or less is not logged
 

@@ -45,12 +45,15 @@ def _dates(df: DataFrame, column: str) -> list:
     return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
-def _bucket_dates(spark: SparkSession, dates: Sequence, period: str) -> list:
-    """All dates of the buckets that hold the given dates."""
+def _bucket_dates(spark: SparkSession, dates: Sequence, period: str, partition: str) -> list:
+    """Partition dates of all buckets that the given partitions touch."""
     days = spark.createDataFrame([(d,) for d in dates], "d date")
-    first = F.date_trunc(period, F.col("d").cast("timestamp"))
-    last = F.greatest(F.to_date(first + F.make_interval(**{f"{period}s": F.lit(1)}) - F.make_interval(secs=F.lit(1))), F.col("d"))
-    return _dates(days.select(F.explode(F.sequence(F.to_date(first), last)).alias("d")), "d")
+    step = lambda unit: F.make_interval(**{f"{unit}s": F.lit(1)})
+    end = F.to_date(F.col("d").cast("timestamp") + step(partition) - F.make_interval(secs=F.lit(1)))
+    first = F.to_date(F.date_trunc(period, F.col("d").cast("timestamp")))
+    last = F.to_date(F.date_trunc(period, end.cast("timestamp")) + step(period) - F.make_interval(secs=F.lit(1)))
+    listed = days.select(F.explode(F.sequence(first, F.greatest(last, end))).alias("d"))
+    return _dates(listed.select(F.to_date(F.date_trunc(partition, F.col("d").cast("timestamp"))).alias("d")), "d")
 
 
 def run_cycle(
@@ -65,14 +68,15 @@ def run_cycle(
     pipeline: str = "orders",
     lookback_hours: int | None = None,
     clock: Callable[[], datetime] = _utc_now,
+    partition: str = "day",
 ) -> DataFrame:
     """Runs one cycle on the batch ``orders``/``events`` against the tables under ``store``.
 
     Returns the summary as one row of counts and writes it as JSON; the lists
     (anomalies, causes, decisions, drift) are JSON files beside it. Each stage
     writes its table and later stages read what was stored, so a lost executor
-    never replays the whole cycle. Raw tables are partitioned by date and read
-    under their declared schema. A cycle reads the dates of the buckets its batch
+    never replays the whole cycle. Raw tables are partitioned by date (the first of its
+    ``partition``: day, week or month) and read under their declared schema. A cycle reads the dates of the buckets its batch
     touches, and those of the look-back, never the whole history. ``now`` is the
     time the data is looked at from, ``clock`` gives the times of the run itself.
 
@@ -102,14 +106,14 @@ def run_cycle(
             if new:
                 sinks.tag_columns(spark, t, new, at("schema_baseline"), now)
                 tagged[t] = {**tagged.get(t, {}), **new}
-        shaped = {t: sinks.shape_raw(df, t, tagged.get(t, {})) for t, df in batch.items()}
+        shaped = {t: sinks.shape_raw(df, t, tagged.get(t, {}), partition) for t, df in batch.items()}
         dates = {t: _dates(df, sinks.RAW_PARTITIONS[t][1]) for t, df in shaped.items()}
         rows = sinks.append(shaped["raw_orders"], at("raw_orders"), [sinks.RAW_PARTITIONS["raw_orders"][1]])
         sinks.append(shaped["raw_events"], at("raw_events"), [sinks.RAW_PARTITIONS["raw_events"][1]])
         raw = lambda t, days: sinks.read_raw(spark, at(t), t, tagged.get(t, {}), days)
 
         # 2. Rebuild the buckets the new orders touch, late ones included, from the dates of these buckets.
-        near = raw("raw_orders", _bucket_dates(spark, dates["raw_orders"], period))
+        near = raw("raw_orders", _bucket_dates(spark, dates["raw_orders"], period, partition))
         buckets = shaped["raw_orders"].select(F.date_trunc(period, "order_ts").alias("_b")).distinct()
         touched = near.join(buckets, F.date_trunc(period, "order_ts") == F.col("_b"), "left_semi")
         snapshots = kpi_ops.kpi_by_period(touched, period).withColumn("created_at", F.lit(now).cast("timestamp"))
@@ -118,12 +122,13 @@ def run_cycle(
         # 3. Detect on the recent snapshots of this period.
         kpis = readers.read_table(spark, store, "kpi_snapshots")
         recent = kpi_ops.by_period(kpi_ops.lookback(kpis, hours, now), kpi_ops.PERIOD_NAMES.get(period, period))
-        recent = recent.where(F.col("snapshot_date") >= F.lit((now - timedelta(hours=hours)).date()))
+        since = F.lit((now - timedelta(hours=hours)).date())
+        recent = recent.where(F.col("snapshot_date") >= since)
         found = stored(anomaly_ops.detect(recent, settings).withColumn("detected_at", F.lit(now).cast("timestamp")), "cycle-anomalies")
         n_anomalies = sinks.write_anomalies(found, at("anomaly_events"))
 
         # 4. Explain and decide.
-        since = F.lit((now - timedelta(hours=hours)).date())
+        since = F.to_date(F.date_trunc(partition, since.cast("timestamp")))
         past_orders = kpi_ops.lookback(raw("raw_orders", None).where(F.col("order_date") >= since), hours, now, "order_ts")
         past_events = kpi_ops.lookback(raw("raw_events", None).where(F.col("event_date") >= since), hours, now, "event_ts")
         findings = findings_for(past_orders, past_events, period, event_types, settings)

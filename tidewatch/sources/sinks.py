@@ -40,10 +40,11 @@ RAW_PARTITIONS = {"raw_orders": ("order_ts", "order_date"), "raw_events": ("even
 NO_DATE = "1970-01-01"
 
 
-def shape_raw(df: DataFrame, table: str, tagged: Mapping[str, str] = {}) -> DataFrame:
+def shape_raw(df: DataFrame, table: str, tagged: Mapping[str, str] = {}, unit: str = "day") -> DataFrame:
     """A raw batch in the form in which it is stored: declared columns in order and type, then tagged ones in theirs, then the partition date.
 
     A cell that cannot be cast becomes NULL, so the null checks see it. Declared columns that are missing are added, booleans as false.
+    Rows are dealt by date, large dates over several tasks and small ones together, so that a date has few files.
     """
     time, date = RAW_PARTITIONS[table]
     have = dict(df.dtypes)
@@ -55,7 +56,8 @@ def shape_raw(df: DataFrame, table: str, tagged: Mapping[str, str] = {}) -> Data
 
     rest = [F.col(f"`{c}`").try_cast(k).alias(c) for c, k in tagged.items() if c in have and c not in schemas.TABLES[table].names]
     shaped = df.select(*[declared(f) for f in schemas.TABLES[table].fields], *rest)
-    return shaped.withColumn(date, F.coalesce(F.to_date(time), F.to_date(F.lit(NO_DATE))))
+    shaped = shaped.withColumn(date, F.to_date(F.date_trunc(unit, F.coalesce(time, F.to_timestamp(F.lit(NO_DATE))))))
+    return shaped.hint("rebalance", date)
 
 
 def raw_schema(table: str, extra: Mapping[str, str]) -> T.StructType:

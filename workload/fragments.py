@@ -130,3 +130,8 @@ def r4(*names: str) -> str:
 
 def r6(*names: str) -> str:
     return ", ".join(f"{n6(n)} as {n}" for n in names)
+
+
+def exact2(expr: str) -> str:
+    """Two digits as text: the shortest decimal form of the double, rounded half up as a decimal."""
+    return f"printf('%.2f', round(cast(cast(({expr})::double as varchar) as decimal(38,12)), 2)::double)"

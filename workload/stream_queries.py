@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import Settings
 from tidewatch.plans import cycle
-from tidewatch.session import workspace
+from tidewatch.operators import setops
+from tidewatch.session import stored, workspace
 from tidewatch.sources import adapters, readers
 from tidewatch.streaming import anomalies as stream_anomalies
 from tidewatch.streaming import kpis
@@ -113,9 +114,58 @@ def run_cycle(spark, sf):
     """One full cycle over all orders and events in monthly buckets."""
     report = cycle.run_cycle(
         spark, workspace(spark, "store"), adapters.raw_orders(spark, sf), adapters.raw_events(spark, sf), datetime(2001, 9, 1),
-        Settings(latest_hours=24 * 62), period="month", event_types=("purchase", "view"), lookback_hours=24 * 366 * 8,
+        Settings(latest_hours=24 * 62), period="month", event_types=("purchase", "view"), lookback_hours=24 * 366 * 8, partition="month",
     )
     return report.select(
         F.col("ingestion.rows").alias("rows"), F.col("ingestion.status").alias("status"), "anomalies_found",
-        F.size("decisions").alias("decisions"), F.col("healing.drifts").alias("drifts"), F.col("healing.healed").alias("healed"),
+        "decisions", F.col("healing.drifts").alias("drifts"), F.col("healing.healed").alias("healed"),
     )
+
+
+STORE = f"""with {q.DIRTY}, kpi as (select date_trunc('month', order_ts)::timestamp as snapshot_ts, region, category, {q.MEASURES}, 'monthly' as period from dirty where {q.VALID} group by 1, 2, 3),
+{q.anomalies('kpi', 3.0)}, best as (select region, category, metric_name, arg_max(severity, abs(z_score)) as severity from anom group by 1, 2, 3)
+select 'raw_orders' as stored, 'rows' as item, count(*) as n from dirty
+union all select 'raw_orders', 'nulls left', 0
+union all select 'raw_orders', 'customer_id 0', count_if(coalesce(customer_id, 0) = 0) from dirty
+union all select 'raw_orders', 'unit_price filled', count(*) - count(unit_price) from dirty
+union all select 'raw_orders', 'order_ts filled', count(*) - count(order_ts) from dirty
+union all select 'raw_events', 'rows', count(*) from events
+union all select 'kpi_snapshots', 'rows', count(*) from kpi
+union all select 'kpi_snapshots', 'orders', sum(total_orders)::bigint from kpi
+union all select 'anomaly_events', 'rows', count(*) from best
+union all select 'agent_decisions', case severity when 'CRITICAL' then 'P1' when 'HIGH' then 'P2' when 'MEDIUM' then 'P3' else 'P4' end, count(*) from best group by 2
+union all select 'schema_drift_log', 'raw_orders.' || c || ' repaired', 1 from (values ('customer_id NULL_VIOLATION'), ('unit_price NULL_VIOLATION'), ('order_ts NULL_VIOLATION'), ('created_at DROPPED_COLUMN')) t(c)
+union all select 'schema_drift_log', 'raw_orders.quantity TYPE_CHANGE open', 1
+union all select 'schema_drift_log', 'raw_events.' || c || ' repaired', 1 from (values ('session_id DROPPED_COLUMN'), ('product_id DROPPED_COLUMN'), ('value NEW_COLUMN')) t(c)
+union all select 'second cycle', 'repaired again', 0"""
+
+
+@query("cycle_store", STORE)
+def cycle_store(spark, sf):
+    """What a cycle over orders with gaps leaves in its tables, and what a second cycle with a batch of the same form repairs again."""
+    store, settings, now = workspace(spark, "store"), Settings(forest_trees=0), datetime(2001, 9, 1)
+    orders, events = adapters.dirty_orders(spark, sf), adapters.raw_events(spark, sf)
+    run = lambda o, e, t: cycle.run_cycle(spark, store, o, e, t, settings, period="month", event_types=("purchase", "view"), lookback_hours=24 * 366 * 8, partition="month")
+    run(orders, events, now)
+    read = lambda name: readers.read_table(spark, store, name)
+    n, rows = F.count(F.lit(1)), lambda df, table, item: df.select(F.lit(table).alias("stored"), item.alias("item"), F.col("n").cast("bigint").alias("n"))
+    o, k, log = read("raw_orders"), read("kpi_snapshots"), read("schema_drift_log")
+    counts = o.agg(
+        n.alias("rows"), F.count_if(F.expr("customer_id is null or unit_price is null or order_ts is null")).alias("nulls left"),
+        F.count_if(F.col("customer_id") == 0).alias("customer_id 0"), F.count_if(F.col("unit_price") == 0).alias("unit_price filled"),
+        F.count_if(F.col("order_ts") == F.lit(datetime(1970, 1, 1))).alias("order_ts filled"),
+    )
+    parts = [rows(counts.unpivot([], counts.columns, "item", "n"), "raw_orders", F.col("item"))]
+    parts.append(rows(read("raw_events").agg(n.alias("n")), "raw_events", F.lit("rows")))
+    both = k.agg(n.alias("rows"), F.sum("total_orders").alias("orders"))
+    parts.append(rows(both.unpivot([], both.columns, "item", "n"), "kpi_snapshots", F.col("item")))
+    parts.append(rows(read("anomaly_events").agg(n.alias("n")), "anomaly_events", F.lit("rows")))
+    parts.append(rows(read("agent_decisions").groupBy("priority").agg(n.alias("n")), "agent_decisions", F.col("priority")))
+    state = F.when(F.col("auto_healed") & F.col("validated"), F.lit(" repaired")).otherwise(F.lit(" open"))
+    named = log.withColumn("item", F.concat("table_name", F.lit("."), "column_name", F.lit(" "), "drift_type", state)).groupBy("item").agg(n.alias("n"))
+    kept = [stored(p, "cycle-store") for p in (*parts, rows(named, "schema_drift_log", F.col("item")))]
+    later = datetime(2001, 9, 2)
+    run(orders.where("order_ts >= '2001-07-15' and customer_id is not null and unit_price is not null"), events.where("event_ts >= '2024-01-30'"), later)
+    again = read("schema_drift_log").where((F.col("detected_at") == F.lit(later)) & F.col("auto_healed")).agg(n.alias("n"))
+    kept.append(rows(again, "second cycle", F.lit("repaired again")))
+    return setops.concat_tables(*kept)
