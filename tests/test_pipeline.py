@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from tidewatch.operators import kpi as kpi_ops
 from tidewatch.plans import cycle
 from tidewatch.sources import readers, sinks
 from tidewatch.streaming import anomalies as stream_anomalies
-from tidewatch.streaming import ingest, kpis
+from tidewatch.streaming import ingest, kpis, timed
 from tidewatch.streaming.run import drain_batches, drain_to_table
 
 NOW = datetime(2024, 1, 10)
@@ -272,6 +274,72 @@ def test_stateful_stream_equals_batch_over_several_batches(spark, tmp_path):
     assert table.select(*key).exceptAll(batch.select(*key)).count() == 0
 
 
+def test_late_snapshots_take_their_place(spark, tmp_path):
+    """Three batches, one snapshot late but within the delay: the same events as in one batch. One later than the delay is dropped and counted."""
+    from tidewatch.operators import anomaly
+
+    k = kpi_frame(spark, kpi_rows(60, "North", spike=90_000.0), kpi_rows(60, "South"))
+    rows = sorted(k.collect(), key=lambda r: (r["snapshot_ts"], r["region"]))
+    late = next(r for r in rows if r["region"] == "North" and r["snapshot_ts"] == START + timedelta(hours=19))
+    rest = [r for r in rows if r != late]
+    stale = {**rows[0].asDict(), "total_revenue": 1e9}
+    parts = [rest[:40], [*rest[40:80], late], [*rest[80:], stale]]
+    for i, part in enumerate(parts):
+        spark.createDataFrame([tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in part], k.schema).coalesce(1).write.mode("append").json(f"{tmp_path}/{i}")
+    for i in range(3):
+        (tmp_path / "k").mkdir(exist_ok=True)
+        for f in sorted((tmp_path / str(i)).glob("*.json")):
+            (tmp_path / "k" / f"{i}.json").write_text(f.read_text())
+            os.utime(tmp_path / "k" / f"{i}.json", (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
+    stream = spark.readStream.schema(k.schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/k")
+    table, q = drain_to_table(timed.timed_anomalies(stream, "3 hours", threshold=1.2), "t")
+    key = ["region", "metric_name", F.date_format("snapshot_ts", "yyyy-MM-dd HH").alias("t"), F.round("z_score", 6).alias("z")]
+    batch = anomaly.zscore_anomalies(k, threshold=1.2).withColumnRenamed("window_end", "snapshot_ts")
+    batch = batch.where(F.col("snapshot_ts") <= F.lit(START + timedelta(hours=56)))
+    assert table.count() == batch.count() > 0
+    assert table.select(*key).exceptAll(batch.select(*key)).count() == 0
+    assert kpis.late_rows(q) == 1
+
+
+def test_rolling_scores_are_those_of_plain_windows():
+    rnd = np.random.default_rng(1)
+    values = rnd.normal(size=(50, 3))
+    values[rnd.random((50, 3)) < 0.2] = np.nan
+    values[:, 2] = 5.0
+    mean, z = timed.rolling_scores(values, 10, 24, 3)
+    for i in range(10, 50):
+        for j in range(3):
+            own = values[max(0, i - 23) : i + 1, j]
+            own = own[~np.isnan(own)]
+            sd = own.std(ddof=1) if len(own) > 1 else 0.0
+            if len(own) < 3 or sd == 0 or np.isnan(values[i, j]):
+                assert np.isnan(z[i - 10, j])
+            else:
+                assert z[i - 10, j] == pytest.approx((values[i, j] - own.mean()) / sd) and mean[i - 10, j] == pytest.approx(own.mean())
+
+
+def test_best_row_of_a_key_is_emitted_when_its_window_closes(spark, tmp_path):
+    rows = [("a", START, 3.0), ("a", START + timedelta(minutes=10), -9.0), ("b", START + timedelta(minutes=20), 1.0), ("a", START + timedelta(minutes=30), 9.0), ("a", START + timedelta(hours=2), 2.0), ("b", START + timedelta(hours=5), 1.0)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, z double")
+    _files(df, f"{tmp_path}/b", 3, "t")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/b")
+    table, _ = drain_to_table(kpis.best_stream(stream, ["k"], "t", [F.abs("z")], "1 hour", "1 hour"), "best")
+    got = {(r["k"], r["window_start"].hour): r["z"] for r in table.collect()}
+    assert got == {("a", 0): -9.0, ("b", 0): 1.0, ("a", 2): 2.0}  # of equal ranks the earlier; the last hour is open
+
+
+def test_malformed_messages_are_kept_apart(spark, tmp_path):
+    good = [("orders", json.dumps({"a": i, "b": "x"})) for i in range(3)]
+    bad = [("orders", "{broken"), ("orders", None), ("orders", '{"a": "text"}'), (None, '{"a": 1}'), ("orders", ""), ("other", "{broken")]
+    seen = []
+    run = ingest.with_dead_letters("a int, b string", "orders", lambda df, i: seen.extend(df.collect()), f"{tmp_path}/dead")
+    for _ in range(2):  # a repeated batch leaves the same
+        run(spark.createDataFrame(good + bad, "topic string, data string"), 0)
+    assert sorted(r["a"] for r in seen) == [0, 0, 1, 1, 2, 2]
+    dead = spark.read.parquet(f"{tmp_path}/dead").groupBy("reason").count().collect()
+    assert {r["reason"]: r["count"] for r in dead} == {"malformed payload": 4, "no topic": 1}
+
+
 def test_batch_detection_over_several_batches(spark, tmp_path):
     k = kpi_frame(spark, kpi_rows(60, "North", spike=90_000.0))
     _files(k, f"{tmp_path}/k", 3, "snapshot_ts")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidewatch import schemas
 from tidewatch.operators import setops
+from tidewatch.session import stored
 from tidewatch.sources.readers import decode_message
 
 
@@ -38,6 +39,40 @@ def ingest_stream(messages: DataFrame, topic: str, schema: T.StructType | str) -
     return decode_message(messages, schema, topic)
 
 
+REASON_TOPIC, REASON_BODY = "no topic", "malformed payload"
+
+
+def judged_messages(messages: DataFrame, schema: T.StructType | str, topic: str | None = None) -> DataFrame:
+    """Envelopes of one topic with their typed row ``m`` and why they are rejected, NULL where they are not.
+
+    A payload that is missing or is not the JSON of a row of ``schema`` is rejected as a whole, also where single cells could be read.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = T.StructType([*declared.fields, T.StructField("_corrupt", T.StringType())])
+    read = F.from_json("data", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    if topic is not None:
+        messages = messages.where((F.col("topic") == topic) | F.col("topic").isNull())
+    reason = F.when(F.col("topic").isNull(), REASON_TOPIC).when(F.col("_m").isNull() | F.col("_m._corrupt").isNotNull(), REASON_BODY)
+    kept = F.struct(*[F.col("_m")[f.name].alias(f.name) for f in declared.fields])
+    return messages.withColumn("_m", read).select("topic", "data", kept.alias("m"), reason.alias("reason"))
+
+
+def with_dead_letters(
+    schema: T.StructType | str, topic: str, sink: Callable[[DataFrame, int], None], dead_path: str
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: rows go to ``sink``, rejected envelopes with their reason to ``dead_path``.
+
+    The batch is parsed once and stored for both. What the same batch id rejected before is replaced.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        judged = stored(judged_messages(batch, schema, topic), "judged-messages")
+        judged.where("reason is not null").select("topic", "data", "reason").write.mode("overwrite").parquet(f"{dead_path}/batch={batch_id}")
+        sink(judged.where("reason is null").select("m.*"), batch_id)
+
+    return run
+
+
 def payload_columns(messages: DataFrame, table: str) -> DataFrame:
     """Columns seen in the JSON payloads of a batch, as schema rows."""
     names = messages.select(F.explode(F.json_object_keys("data")).alias("column_name")).distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,3 +34,15 @@ def late_rows(query: StreamingQuery) -> int:
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """First row per key within the watermark delay; state is dropped after it."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def best_stream(df: DataFrame, keys: Sequence[str], ts: str, rank: Sequence[str | Column], every: str = "1 day", delay: str = "1 hour") -> DataFrame:
+    """The best row of each key and window, emitted once the watermark has passed the window.
+
+    Best is the largest ``rank``, and of equal ones the earliest. Rows are combined before the shuffle, and state is one row
+    per open key and window. Rows later than ``delay`` are dropped and counted, see :func:`late_rows`.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(*[F.col(r).alias(f"r{i}") if isinstance(r, str) else r.alias(f"r{i}") for i, r in enumerate(rank)], (-F.unix_micros(F.col(ts))).alias("t"))
+    best = df.withWatermark(ts, delay).groupBy(F.window(ts, every), *keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return best.select(F.col("window.start").alias("window_start"), *keys, *[F.col("_row")[c].alias(c) for c in rest])

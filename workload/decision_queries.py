@@ -184,12 +184,12 @@ with {q.EANOM}
 select metric_name, category, {q.ts('window_end')}, 'SINGLE EVENT ALERT:' || {NL} || 'Metric  : ' || metric_name || {NL} || 'Region  : ' || region || {NL} || 'Severity: ' || severity || {NL} ||
   'Observed: ' || {q.exact2('metric_value')} || '  (Expected: ' || {q.exact2('expected_value')} || ')' || {NL} || 'Z-score : ' || {q.exact2('z_score')} || 'σ' || {NL} || {NL} ||
   'Provide: (1) what this anomaly means, (2) likely root cause, (3) immediate action in 3 bullet points.' as prompt
-from anom where metric_name <> 'avg_order_val'""")
+from anom""")
 def event_prompts(spark, sf):
-    """Prompt per volume anomaly. Averages are left out: many lie on a rounding tie that the last bit of a sum decides."""
+    """Prompt per anomaly. Values are taken at six digits, where the order of a sum no longer shows, then worded with two."""
     from workload.anomaly_queries import event_anomalies
 
-    a = event_anomalies(spark, sf).where("metric_name <> 'avg_order_val'")
+    a = event_anomalies(spark, sf).withColumns({c: F.round(c, 6) for c in ("metric_value", "expected_value", "z_score")})
     prompt = X.event_prompt("metric_name", "severity", "region", "metric_value", "expected_value", "z_score")
     return a.select("metric_name", "category", ts("window_end"), prompt.alias("prompt"))
 

@@ -133,5 +133,5 @@ def r6(*names: str) -> str:
 
 
 def exact2(expr: str) -> str:
-    """Two digits as text: the shortest decimal form of the double, rounded half up as a decimal."""
-    return f"printf('%.2f', round(cast(cast(({expr})::double as varchar) as decimal(38,12)), 2)::double)"
+    """Two digits as text: rounded as a decimal to six digits, where the order of a sum no longer shows, then half up."""
+    return f"printf('%.2f', round(round(cast(cast(({expr})::double as varchar) as decimal(38,12)), 6), 2)::double)"

@@ -12,8 +12,8 @@ from tidewatch.operators import setops
 from tidewatch.session import stored, workspace
 from tidewatch.sources import adapters, readers
 from tidewatch.streaming import anomalies as stream_anomalies
-from tidewatch.streaming import kpis
-from tidewatch.streaming.ingest import ingest_stream
+from tidewatch.streaming import kpis, timed
+from tidewatch.streaming.ingest import ingest_stream, with_dead_letters
 from tidewatch.streaming.run import drain_batches, drain_to_table
 from workload import fragments as q
 from workload.registry import query, r4, r6, ts
@@ -109,6 +109,50 @@ def stream_anomalies_stateful(spark, sf):
     )
 
 
+TIMED = f"""with {q.EKPI}, {q.anomalies('ekpi', 3.0, ('total_revenue', 'avg_order_val', 'total_orders'))}
+select {q.ts('window_end')}, category, metric_name, {q.r4('metric_value', 'expected_value')}, {q.r6('z_score')}, severity from anom
+where window_end <= (select max(snapshot_ts) from ekpi) - interval 2 hour"""
+
+
+@query("stream_anomalies_timed", TIMED)
+def stream_anomalies_timed(spark, sf):
+    """Rolling z of all snapshots that the watermark has passed, released by timers."""
+    metrics = ("total_revenue", "avg_order_val", "total_orders")
+    table, _ = drain_to_table(timed.timed_anomalies(kpi_rows(spark, sf, "kpi_source"), "2 hours", metrics=metrics), "stream_timed")
+    return table.select(
+        ts("snapshot_ts", "window_end"), "category", "metric_name", *r4("metric_value", "expected_value"), *r6("z_score"), "severity"
+    )
+
+
+@query("stream_dedup_best", f"""
+with b as (select date_trunc('day', ts)::timestamp as day, event_type, user_id as customer_id, arg_max({{'i': event_id, 't': ts, 'v': value}}, {{'v': value, 't': -epoch_us(ts), 'i': -event_id}}) as e from events group by 1, 2, 3)
+select {q.ts('day', 'window_start')}, event_type, customer_id, {q.ts('e.t', 'event_ts')}, e.v as value from b where day + interval 1 day <= (select max(ts) from events) - interval 1 hour""")
+def stream_dedup_best(spark, sf):
+    """Largest event per customer, type and day, once the day is closed."""
+    events = event_stream(spark, sf).select("event_id", "customer_id", "event_type", "event_ts", "value")
+    table, _ = drain_to_table(kpis.best_stream(events, ["event_type", "customer_id"], "event_ts", ["value"]), "stream_best")
+    return table.select(ts("window_start"), "event_type", "customer_id", ts("event_ts"), "value")
+
+
+@query("stream_dead_letters", """
+with m as (select *, case when event_type = 'error' then case when value > 50 then 'truncated' else 'text for a number' end when event_type = 'signup' and value > 90 then 'no topic' else 'fine' end as kind from events)
+select kind in ('fine') as accepted, case when kind = 'no topic' then 'no topic' when kind = 'fine' then 'accepted' else 'malformed payload' end as reason, count(*) as n, round(sum(value), 4) as value from m group by 1, 2""")
+def stream_dead_letters(spark, sf):
+    """Events as messages, of which errors come truncated or with text for a number and large signups without a topic: rows and rejected envelopes."""
+    events, base = event_stream(spark, sf), workspace(spark, "dead-letters")
+    sent = readers.encode_message(events, "events")
+    bad, value = F.get_json_object("data", "$.event_type"), F.get_json_object("data", "$.value").cast("double")
+    broken = F.when((bad == "error") & (value > 50), F.expr("substr(data, 1, length(data) - 1)")).when(bad == "error", F.replace("data", F.lit('"event_id":'), F.lit('"event_id":"x","was":'))).otherwise(F.col("data"))
+    lost = F.when((bad == "signup") & (value > 90), F.lit(None)).otherwise(F.col("topic"))
+    sent = sent.select(lost.alias("topic"), broken.alias("data"))
+    sink = lambda df, i: df.write.mode("overwrite").parquet(f"{base}/rows/batch={i}")
+    drain_batches(sent, "stream_dead_letters", with_dead_letters(events.schema, "events", sink, f"{base}/dead"))
+    good = spark.read.parquet(f"{base}/rows").select(F.lit(True).alias("accepted"), F.lit("accepted").alias("reason"), "value")
+    dead = spark.read.parquet(f"{base}/dead")
+    dead = dead.select(F.lit(False).alias("accepted"), "reason", F.regexp_extract("data", '"value":([0-9.eE+-]+)', 1).cast("double").alias("value"))
+    return good.unionByName(dead).groupBy("accepted", "reason").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
 @query("run_cycle")
 def run_cycle(spark, sf):
     """One full cycle over all orders and events in monthly buckets."""
