@@ -87,12 +87,15 @@ def test_best_cause_and_attachment(spark):
 
 def test_backdoor_matches_numpy(spark):
     df, pdf = features(spark)
-    r = causal.backdoor_ate(df, "avg_discount", "revenue").first()
+    r = causal.backdoor_ate(df, "avg_discount", "revenue", limit=3).first()
     m = np.column_stack([np.ones(len(pdf)), pdf["avg_discount"], pdf["order_count"], pdf["avg_price"], pdf["return_rate"]])
     beta, sse, *_ = np.linalg.lstsq(m, pdf["revenue"], rcond=None)
     assert r["ate"] == pytest.approx(beta[1], rel=1e-6)
     se = np.sqrt(sse[0] / (len(pdf) - 5) * np.linalg.inv(m.T @ m)[1, 1])
     assert r["se"] == pytest.approx(se, rel=1e-5)
+    every = causal.backdoor_ate(df, "avg_discount", "revenue").first()
+    beta = np.linalg.lstsq(np.column_stack([m, pdf["avg_qty"]]), pdf["revenue"], rcond=None)[0]
+    assert every["ate"] == pytest.approx(beta[1], rel=1e-6)
 
 
 def test_random_cause_hardly_moves_the_effect(spark):

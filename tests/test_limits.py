@@ -28,7 +28,7 @@ def test_blocks_keep_rows_without_key_or_time(spark):
 def test_all_columns_and_cells_have_outliers(spark):
     rows = [tuple(float(i % (k + 3)) for k in range(6)) for i in range(5000)] + [(900.0,) * 6] * 60
     df = spark.createDataFrame(rows, ", ".join(f"c{k} double" for k in range(6)))
-    got = anomaly.column_outliers(df, df.columns, [], enough=None).groupBy("metric_name").count().collect()
+    got = anomaly.column_outliers(df, df.columns, []).groupBy("metric_name").count().collect()
     assert {r["metric_name"]: r["count"] for r in got} == {f"c{k}": 60 for k in range(6)}
     few = spark.createDataFrame([(float(i % 3),) * 5 + (900.0 if i == 0 else 0.0,) for i in range(500)], df.schema)
     assert [r["metric_name"] for r in anomaly.column_outliers(few, few.columns, []).collect()] == ["c5"]
@@ -50,10 +50,54 @@ def test_all_confounders_are_held_fixed(spark):
     rows = [("N", "B", datetime(2024, 1, 1) + timedelta(hours=i), *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "region string, category string, hour_bucket timestamp, " + ", ".join(f"{n} double" for n in [*names, "revenue"]))
     beta = np.linalg.lstsq(np.column_stack([np.ones(80), x]), y, rcond=None)[0]
-    assert abs(causal.backdoor_ate(df, "avg_discount", "revenue", limit=None).first()["ate"] - beta[3]) < 1e-6
-    assert abs(causal.refute_random_common_cause(df, "avg_discount", "revenue", limit=None).first()["ate"] - beta[3]) < 1e-6
+    assert abs(causal.backdoor_ate(df, "avg_discount", "revenue").first()["ate"] - beta[3]) < 1e-6
+    assert abs(causal.refute_random_common_cause(df, "avg_discount", "revenue").first()["ate"] - beta[3]) < 1e-6
 
 
 def test_row_count_without_upper_limit(spark):
     got = quality.validate(spark.range(3), "t", [quality.expect_row_count_between(1, None), quality.expect_row_count_between(1, 2)]).orderBy("check_no").collect()
     assert [(r["passed"], r["detail"]) for r in got] == [(True, "3 rows (expected at least 1)"), (False, "3 rows (expected 1–2)")]
+
+
+def test_suites_have_no_row_limit(spark):
+    o = quality.raw_orders_suite(datetime(2024, 1, 1))
+    k = quality.kpi_snapshots_suite(datetime(2024, 1, 1))
+    for suite in (o, k):
+        first = quality.validate(spark.range(3), "t", suite[:1]).first()
+        assert first["detail"] == "3 rows (expected at least 1)"
+
+
+def _features(seed: int, rows: int, group: str, **fixed):
+    rng = np.random.default_rng(seed)
+    names = ["order_count", "avg_price", "avg_discount", "return_rate", "avg_qty", "evt_view"]
+    x = rng.normal(size=(rows, 6)) * [100, 20, 1, 0.01, 3, 50] + [500, 80, 5, 0.05, 4, 900]
+    x[:, 2] += x[:, 4] / 3
+    for name, like in fixed.items():
+        x[:, names.index(name)] = x[:, names.index(like)] * 2 + 1
+    y = x @ np.array([3.0, 10.0, 40.0, -500.0, 8.0, 0.1]) + rng.normal(size=rows)
+    return names, x, y, [(group, "B", datetime(2024, 1, 1) + timedelta(hours=i), *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
+
+
+def test_sweeping_gives_the_effects_of_least_squares(spark):
+    """Every pair of every group against a regression of its own; a cause that another feature determines, and few rows, are not known."""
+    names, x, y, rows = _features(1, 90, "N")
+    _, x2, y2, rows2 = _features(2, 60, "S", avg_qty="avg_price")
+    df = spark.createDataFrame([*rows, *rows2, *_features(3, 6, "W")[3]], "region string, category string, hour_bucket timestamp, " + ", ".join(f"{n} double" for n in [*names, "revenue"]))
+    found = {(r["region"], r["cause_variable"], r["effect_variable"]): r for r in causal.adjusted_ate(df).collect()}
+    table = np.column_stack([x, y])
+    columns = [*names, "revenue"]
+    for (region, cause, effect), r in found.items():
+        if region != "N":
+            continue
+        others = [i for i, c in enumerate(columns) if c != effect]
+        design = np.column_stack([np.ones(90), table[:, others]])
+        target = table[:, columns.index(effect)]
+        beta, sse = np.linalg.lstsq(design, target, rcond=None)[:2]
+        at = 1 + others.index(columns.index(cause))
+        se = np.sqrt(sse[0] / (90 - design.shape[1]) * np.linalg.inv(design.T @ design)[at, at])
+        assert abs(r["ate"] - beta[at]) < 1e-6 * max(1, abs(beta[at])) and abs(r["se"] / se - 1) < 1e-5
+    assert not any(r["known"] for (region, *_), r in found.items() if region == "W")
+    twins = [r["known"] for (region, cause, effect), r in found.items() if region == "S" and cause in ("avg_price", "avg_qty") and effect not in ("avg_price", "avg_qty")]
+    assert twins and not all(twins)
+    both = {(r["region"], r["cause_variable"], r["effect_variable"]): r["method"] for r in causal.adjusted_findings(df).collect()}
+    assert set(both) == set(found) and all((m == "backdoor_linear_regression") == found[k]["known"] for k, m in both.items())

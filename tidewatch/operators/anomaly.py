@@ -175,12 +175,12 @@ def ml_anomalies(df: DataFrame, columns: Sequence[str], keys: Sequence[str], set
 
 
 def column_outliers(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], dataset_type: str = "general", enough: int | None = 50
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], dataset_type: str = "general", enough: int | None = None
 ) -> DataFrame:
     """Cells with |z| > 2.5 in the numeric columns.
 
-    Columns with under 6 values or no spread are passed over; no further column
-    is looked at once the earlier ones gave ``enough`` rows. None looks at all columns.
+    Columns with under 6 values or no spread are passed over. With ``enough`` no
+    further column is looked at once the earlier ones gave so many rows.
     """
     cols = list(numeric)
     stats = _stats(df, cols, F.stddev_samp)

@@ -190,7 +190,7 @@ def ols_findings(features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PA
 # -- adjustment for confounders ------------------------------------------------------
 
 
-def confounders(columns: Sequence[str], x: str, y: str, limit: int | None = 3) -> list[str]:
+def confounders(columns: Sequence[str], x: str, y: str, limit: int | None = None) -> list[str]:
     """The features besides x and y, the first ``limit`` of them; None for all."""
     ordered = [c for c in FEATURE_ORDER if c in columns] + [c for c in columns if c.startswith("evt_")]
     return [c for c in ordered if c not in (x, y)][:limit]
@@ -221,7 +221,7 @@ def _solver(width: int):
 
 
 def backdoor_ate(
-    features: DataFrame, x: str, y: str, controls: Sequence[str] | None = None, by: Sequence[str] = BY, limit: int | None = 3
+    features: DataFrame, x: str, y: str, controls: Sequence[str] | None = None, by: Sequence[str] = BY, limit: int | None = None
 ) -> DataFrame:
     """Effect of x on y with ``controls`` held fixed, per group; without them the first ``limit`` confounders, None for all.
 
@@ -255,7 +255,7 @@ def backdoor_ate(
     )
 
 
-def refute_random_common_cause(features: DataFrame, x: str, y: str, by: Sequence[str] = BY, seed: int = 42, limit: int | None = 3) -> DataFrame:
+def refute_random_common_cause(features: DataFrame, x: str, y: str, by: Sequence[str] = BY, seed: int = 42, limit: int | None = None) -> DataFrame:
     """Effect before and after adding an unrelated random confounder; a sound effect hardly moves."""
     head = F.substring(F.md5(F.concat_ws("|", row_key(by), F.lit(str(seed)))), 1, 8)
     noise = F.conv(head, 16, 10).cast("double") / F.lit(float(2**32))
@@ -265,6 +265,109 @@ def refute_random_common_cause(features: DataFrame, x: str, y: str, by: Sequence
     return before.join(after.select(*by, F.col("ate").alias("new_effect")), list(by))
 
 
+# -- every pair adjusted at once -----------------------------------------------------
+
+
+def cross_moments(features: DataFrame, columns: Sequence[str], by: Sequence[str] = BY) -> DataFrame:
+    """(by, n_samples, moments): centred sums of products of all columns over the complete rows of each group, row by row; one aggregation."""
+    k = len(columns)
+    rows = features.select(*by, *[S.finite(c).alias(f"c{i}") for i, c in enumerate(columns)]).dropna(subset=[f"c{i}" for i in range(k)])
+    sums = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_samples"),
+        *[F.covar_pop(f"c{i}", f"c{j}").alias(f"m_{i}_{j}") for i in range(k) for j in range(i, k)],
+    )
+    flat = F.array(*[F.col(f"m_{min(i, j)}_{max(i, j)}") * F.col("n_samples") for i in range(k) for j in range(k)])
+    return sums.select(*by, "n_samples", flat.alias("moments"))
+
+
+def sweep(m: np.ndarray, k: int, swept: np.ndarray, back: bool = False, least: float = 1e-10) -> np.ndarray:
+    """Sweeps column k of a stack of symmetric matrices in place, or takes the sweep back; ``swept`` tells which matrices have it.
+
+    A column that the ones swept before determine has next to no pivot left and is passed over.
+    """
+    pivot = m[:, k, k].copy()
+    here = swept & (pivot < 0) if back else ~swept & (pivot > least)
+    d = np.where(here, pivot, 1.0)
+    row = m[:, k, :].copy()
+    col = m[:, :, k].copy()
+    out = m - col[:, :, None] * row[:, None, :] / d[:, None, None]
+    sign = -1.0 if back else 1.0
+    out[:, k, :] = sign * row / d[:, None]
+    out[:, :, k] = sign * col / d[:, None]
+    out[:, k, k] = -1.0 / d
+    m[here] = out[here]
+    return here
+
+
+def swept_effects(moments: np.ndarray, counts: np.ndarray, pairs: Sequence[tuple[int, int]]) -> np.ndarray:
+    """(ate, se, known) of y on x for each group and pair of columns, all other columns held fixed.
+
+    All columns are swept once; taking back the sweep of y leaves the regression of y on all others, for each x at once.
+    """
+    scale = np.sqrt(np.maximum(np.einsum("gii->gi", moments), 1e-300))
+    m = moments / scale[:, :, None] / scale[:, None, :]
+    k = m.shape[1]
+    done = np.zeros(m.shape[:2], dtype=bool)
+    for i in range(k):
+        done[:, i] = sweep(m, i, done[:, i])
+    out = np.zeros((len(m), len(pairs), 3))
+    for y in {y for _, y in pairs}:
+        own = m.copy()
+        sweep(own, y, done[:, y], back=True)
+        for at, (x, target) in enumerate(pairs):
+            if target != y:
+                continue
+            others = done.sum(axis=1) - done[:, y]
+            dof = counts - others - 1
+            sse = np.maximum(own[:, y, y], 0.0)
+            spread = np.sqrt(np.maximum(-own[:, x, x], 0.0) * sse / np.maximum(dof, 1.0))
+            ratio = scale[:, y] / scale[:, x]
+            out[:, at] = np.stack([own[:, x, y] * ratio, spread * ratio, done[:, x] & (dof > 0) & (counts > k)], axis=1)
+    return out
+
+
+def adjusted_ate(features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PAIRS) -> DataFrame:
+    """Effect of every candidate pair with all other features held fixed, per group: one aggregation, one small solve per group.
+
+    ``known`` is false where a group has no more complete rows than features, or the features before it determine the cause; effect and
+    confidence are 0 there.
+    """
+    columns = [c for c in FEATURE_ORDER if c in features.columns] + [c for c in features.columns if c.startswith("evt_")]
+    chosen = [p for p in available_pairs(features.columns, pairs) if p[1] in columns and p[2] in columns]
+    places, k = [(columns.index(x), columns.index(y)) for _, x, y, _ in chosen], len(columns)
+
+    @F.pandas_udf("array<array<double>>")
+    def solve(n: pd.Series, flat: pd.Series) -> pd.Series:
+        found = swept_effects(np.array(flat.tolist(), dtype=float).reshape(len(flat), k, k), n.to_numpy(dtype=float), places)
+        return pd.Series(found.tolist())
+
+    cells = [
+        F.struct(F.lit(i).alias("pair_no"), F.lit(x).alias("cause_variable"), F.lit(y).alias("effect_variable"), F.lit(why).alias("hypothesis"), F.lit(at).alias("at"))
+        for at, (i, x, y, why) in enumerate(chosen)
+    ]
+    fitted = cross_moments(features, columns, by).withColumn("_fit", solve("n_samples", "moments"))
+    long = fitted.select(*by, "n_samples", "_fit", F.explode(F.array(*cells)).alias("p")).select(*by, "n_samples", "p.*", F.get("_fit", F.col("p.at")).alias("f")).drop("at")
+    known = (F.col("f")[2] > 0) & (F.col("n_samples") >= 5)
+    out = long.select(
+        *by, "pair_no", "cause_variable", "effect_variable", "hypothesis", "n_samples", known.alias("known"),
+        F.when(known, F.col("f")[0]).otherwise(0.0).alias("ate"), F.when(known, F.col("f")[1]).otherwise(0.0).alias("se"),
+    )
+    p = F.when(F.col("known"), p_value(F.col("ate"), F.col("se"))).otherwise(F.lit(1.0))
+    out = out.withColumn("p_value", p).withColumn("confidence", F.greatest(F.lit(0.0), 1 - F.col("p_value")))
+    return out.withColumn("method", F.when(F.col("known"), "backdoor_linear_regression").otherwise("insufficient_data"))
+
+
+def adjusted_findings(features: DataFrame, by: Sequence[str] = BY, pairs=fv.CAUSAL_PAIRS, settings: Settings = Settings()) -> DataFrame:
+    """The adjusted effect of each group and pair, and the plain slope with its bootstrap error where there is none."""
+    adjusted = adjusted_ate(features, by, pairs)
+    plain = ols_findings(features, by, pairs, settings)
+    keys = [*by, "pair_no"]
+    shared = ["cause_variable", "effect_variable", "hypothesis", "n_samples", "ate", "se", "p_value", "confidence", "method"]
+    both = adjusted.select(*keys, "known", F.struct(*shared).alias("a")).join(plain.select(*keys, F.struct(*shared).alias("b")), keys, "full_outer")
+    pick = F.when(F.coalesce("known", F.lit(False)), F.col("a")).otherwise(F.coalesce("b", "a"))
+    return both.select(*keys, pick.alias("r")).select(*keys, "r.*")
+
+
 # -- choice of the cause -----------------------------------------------------------------
 
 

@@ -105,7 +105,7 @@ def raw_orders_suite(
     categories: Sequence[str] = fv.ORDER_CATEGORIES,
     regions: Sequence[str] = fv.ORDER_REGIONS,
     payments: Sequence[str] = fv.PAYMENT_METHODS,
-    most_rows: int | None = 10_000_000,
+    most_rows: int | None = None,
 ) -> list[Expectation]:
     return [
         expect_row_count_between(1, most_rows),
@@ -123,7 +123,7 @@ def raw_orders_suite(
     ]
 
 
-def kpi_snapshots_suite(now: datetime | Column, periods: Sequence[str] = fv.KPI_PERIODS, most_rows: int | None = 5_000_000) -> list[Expectation]:
+def kpi_snapshots_suite(now: datetime | Column, periods: Sequence[str] = fv.KPI_PERIODS, most_rows: int | None = None) -> list[Expectation]:
     return [
         expect_row_count_between(1, most_rows),
         expect_no_nulls("snapshot_ts"),

@@ -217,10 +217,9 @@ OUT_BASE = """h as (select o_orderkey, o_orderpriority, o_totalprice, count(l_or
 @query("column_outliers", f"""
 with {OUT_BASE},
 s as (select {', '.join(f'avg({c}) as m_{c}, stddev_samp({c}) as s_{c}' for c in OUT_COLS)} from h),
-n as (select {', '.join(f'count_if(abs(({c} - m_{c}) / s_{c}) > 2.5) as n_{c}' for c in OUT_COLS)} from h, s),
 e as (select 'o_totalprice' as metric_name, o_totalprice as metric_value, m_o_totalprice as expected_value, (o_totalprice - m_o_totalprice) / s_o_totalprice as z_score, o_orderpriority as region from h, s
-      union all select 'lines', lines, m_lines, (lines - m_lines) / s_lines, o_orderpriority from h, s, n where n_o_totalprice < 50
-      union all select 'quantity', quantity, m_quantity, (quantity - m_quantity) / s_quantity, o_orderpriority from h, s, n where n_o_totalprice + n_lines < 50)
+      union all select 'lines', lines, m_lines, (lines - m_lines) / s_lines, o_orderpriority from h, s
+      union all select 'quantity', quantity, m_quantity, (quantity - m_quantity) / s_quantity, o_orderpriority from h, s)
 select metric_name, {q.r4('metric_value', 'expected_value', 'z_score')}, region, 'Sales' as category,
        case when abs(z_score) > 4 then 'CRITICAL' when abs(z_score) > 3 then 'HIGH' else 'MEDIUM' end as severity
 from e where abs(e.z_score) > 2.5""")

@@ -139,20 +139,48 @@ def _adjusted(source: str, controls: list[str], x: str, y: str) -> str:
 
 
 @query("backdoor_ate", f"""
-with {FEAT}, {_adjusted('features', ['order_count', 'avg_price', 'return_rate'], 'avg_discount', 'revenue')}
+with {FEAT}, {_adjusted('features', ['order_count', 'avg_price', 'return_rate', 'avg_qty'], 'avg_discount', 'revenue')}
 select region, category, n_samples, {q.n4('ate')} as ate, {q.n4('se')} as se,
        {q.n6('greatest(0, 1 - least(1, greatest(0, 2 * (1 - least(abs(ate / (se + 1e-9)) / 2, 0.999)))))')} as confidence,
        'backdoor_linear_regression' as method from adj""")
 def backdoor_ate(spark, sf):
-    """Effect of discount on revenue with the first three other features held fixed."""
+    """Effect of discount on revenue with all other features held fixed."""
     b = causal.backdoor_ate(features(spark, sf), "avg_discount", "revenue")
     return b.select(*BY, "n_samples", *r4("ate", "se"), *r6("confidence"), "method")
 
 
+NAMES = ["order_count", "avg_price", "avg_discount", "return_rate", "revenue", "avg_qty"]
+ALL_PAIRS = [(i, x, y) for i, (x, y, _) in enumerate(fv.CAUSAL_PAIRS, 1) if x in NAMES and y in NAMES]
+ADJUSTED = " union all ".join(
+    f"select * from (with {_adjusted('features', [c for c in NAMES if c not in (x, y)], x, y)} select region, category, {i} as pair_no, '{x}' as cause_variable, '{y}' as effect_variable, n_samples, ate, se from adj)"
+    for i, x, y in ALL_PAIRS
+)
+ADJUSTED_P = "greatest(0, 1 - least(1, greatest(0, 2 * (1 - least(abs(ate / (se + 1e-9)) / 2, 0.999)))))"
+
+
+@query("adjusted_effects", f"""
+with {FEAT}, every as ({ADJUSTED})
+select region, category, pair_no, cause_variable, effect_variable, n_samples, {q.n4('ate')} as ate, {q.n4('se')} as se, {q.n4(ADJUSTED_P)} as confidence from every""")
+def adjusted_effects(spark, sf):
+    """Effect of every pair with all other features held fixed, from one matrix per group."""
+    a = causal.adjusted_ate(features(spark, sf))
+    return a.select(*BY, "pair_no", "cause_variable", "effect_variable", "n_samples", *r4("ate", "se", "confidence"))
+
+
+@query("adjusted_cause", f"""
+with {FEAT}, every as ({ADJUSTED}), c as (select *, {ADJUSTED_P} as confidence from every),
+best as (select * from c where confidence > 0 qualify row_number() over (partition by region, category order by confidence desc, pair_no) = 1)
+select region, category, cause_variable, effect_variable, {q.n4('ate')} as ate, {q.n4('confidence')} as confidence, 'backdoor_linear_regression' as method from best""")
+def adjusted_cause(spark, sf):
+    """Best cause of each group by its adjusted effects."""
+    b = causal.best_cause(causal.adjusted_findings(features(spark, sf)))
+    return b.select(*BY, "cause_variable", "effect_variable", *r4("ate", "confidence"), "method")
+
+
 @query("refute_random_cause", f"""
 with {FEAT}, noisy as (select *, ('0x' || substr(md5(region || '|' || category || '|' || strftime(hour_bucket, '%Y-%m-%d %H:%M:%S') || '|42'), 1, 8))::bigint / 4294967296.0::double as random_cause from features),
-a as (with {_adjusted('noisy', ['order_count', 'avg_price', 'avg_discount'], 'avg_qty', 'revenue')} select * from adj),
-b as (with {_adjusted('noisy', ['order_count', 'avg_price', 'avg_discount', 'random_cause'], 'avg_qty', 'revenue')} select * from adj)
+a as (with {_adjusted('noisy', ['order_count', 'avg_price', 'avg_discount', 'return_rate'], 'avg_qty', 'revenue')} select * from adj),
+b as (with {_adjusted('noisy', ['order_count', 'avg_price', 'avg_discount', 'return_rate', 'random_cause'], 'avg_qty', 'revenue')} select * from adj)
 select region, category, {q.n4('a.ate')} as ate, {q.n4('b.ate')} as new_effect from a join b using (region, category)""")
 def refute_random_cause(spark, sf):
     b = causal.refute_random_common_cause(features(spark, sf), "avg_qty", "revenue")

@@ -143,7 +143,7 @@ ORDERS_SUITE = _suite("raw_orders", "dirty", [
     _check(9, "values_in_set:payment_method", f"not coalesce(payment_method in ({_list(PAYS)}), false)", "invalid values", _set_name(PAYS)),
     _check(11, "no_future_ts:order_ts", f"order_ts > {AT_SQL} + interval 5 minute", "future timestamps", "clean"),
 ], [
-    "select 'raw_orders', 0, 'row_count', count(*) between 1 and 10000000, count(*) || ' rows (expected 1–10000000)', 0 from t",
+    "select 'raw_orders', 0, 'row_count', count(*) >= 1, count(*) || ' rows (expected at least 1)', 0 from t",
     "select 'raw_orders', 10, 'mean_between:[5,1000]:unit_price', avg(unit_price) between 5 and 1000, 'mean=' || printf('%.4f', round(avg(unit_price), 4)), 0 from t",
 ])
 
@@ -173,7 +173,7 @@ KPI_SUITE = _suite("kpi_snapshots", "kpi", [
     _check(4, "between:[0,1000000000]:total_revenue", "not coalesce(total_revenue between 0 and 1e9, false)", "out-of-range values", "all in [0, 1000000000]"),
     _check(5, "values_in_set:period", "not coalesce(period in ('hourly', 'daily'), false)", "invalid values", "all in {daily, hourly}"),
     _check(6, "no_future_ts:snapshot_ts", f"snapshot_ts > {AT_SQL} + interval 5 minute", "future timestamps", "clean"),
-], ["select 'kpi_snapshots', 0, 'row_count', count(*) between 1 and 5000000, count(*) || ' rows (expected 1–5000000)', 0 from t"])
+], ["select 'kpi_snapshots', 0, 'row_count', count(*) >= 1, count(*) || ' rows (expected at least 1)', 0 from t"])
 
 
 @query("kpi_quality", f"with {q.KPI}, {KPI_SUITE} select * from checks")
