@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import collections
+import hashlib
+import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import queries, shards, topk, urls
+from tidewatch.llm import bpe, langid, pii, queries, shards, topk, urls
 
 VECTORS = "vec_id long, embedding array<double>, id string, v int, low int"
 
@@ -112,3 +115,40 @@ def test_shards_are_shuffled_and_stable(spark):
     other = {r.doc_id: (r.shard, r.slot) for r in shards.interleave(df, "source", ["doc_id"], 4, seed=18).collect()}
     assert first == again != other
     assert len({first[i][0] for i in range(20)}) > 1
+
+
+def test_columns_named_like_helpers_pass_through(spark):
+    """Names that the operators use inside, in the table itself."""
+    df = spark.createDataFrame([(1, "http://a.net/es/x", "u", "b", "c", "t")], "id long, url string, _url string, _best string, _changed string, _text string")
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    r = urls.judge(df, rules).first()
+    assert (r["_url"], r["_best"], r["rule"], r["verdict"]) == ("u", "b", "net/es/", "block")
+    p = pii.pseudonymise(df.withColumn("text", F.lit("mail a.b@example.com")), "k").first()
+    assert p["_changed"] == "c" and p["text"] != "mail a.b@example.com"
+    e = bpe.encode(df.withColumn("text", F.lit("hello")), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).first()
+    assert e["_text"] == "t" and len(e["ids"]) == 1
+    said = langid.predict(df.withColumn("text", F.lit("\U000f0000")), {"en": np.ones(langid.DIMENSIONS)}).first()
+    assert (said["_text"], said["lang_pred"], said["score"]) == ("t", "und", 0.0)
+
+
+def test_shards_query_equals_a_plain_computation(spark, sf):
+    """Size, checksum, shard and slot of every document against the definition in plain Python."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()
+    strata = {}
+    for r in docs:
+        raw = (r.text or "").encode()
+        size, crc = len(raw) + 1, zlib.crc32(raw)
+        mixed = hashlib.md5("\x01".join(["17", str(r.doc_id), str(crc), str(size)]).encode()).hexdigest()
+        strata.setdefault(r.source, []).append((mixed, r.doc_id, size, crc))
+    line = []
+    for name, rows in strata.items():
+        for at, row in enumerate(sorted(rows)):
+            line.append(((2 * at + 1) / (2 * len(rows)), name or "", *row))
+    line.sort()
+    n, want, slots = len(line), {}, collections.Counter()
+    for at, (_, _, _, doc_id, size, crc) in enumerate(line):
+        shard = at * 16 // n
+        want[doc_id] = (size, crc, "rows", shard, slots[shard], None)
+        slots[shard] += 1
+    got = {r.doc_id: (r["size"], r.text_crc32, r.law, r.shard, r.slot, r.grown_shard) for r in queries.op2_shards(spark, sf).collect()}
+    assert got == want and max(slots.values()) - min(slots.values()) <= 1

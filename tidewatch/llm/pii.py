@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import fresh
+
 #: Candidates of each kind. A candidate becomes a pseudonym only if it is valid (check digit, ranges, calendar).
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 PHONE = r"(?<![0-9A-Za-z.+-])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"
@@ -215,8 +217,9 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", count: str | None
     kept = F.split(body, ANY, -1)
     rebuilt = _let(new, lambda pairs: F.struct(F.array_join(F.transform(kept, lambda p, i: F.concat(p, F.coalesce(F.get(pairs, i)["new"], F.lit("")))), "").alias("t"), F.size(F.filter(pairs, lambda p: p["old"] != p["new"])).alias("n")))
     likely = (body.contains("@") | body.rlike("[0-9]")) & body.rlike(ANY)
-    done = df.withColumn("_changed", F.when(likely, rebuilt))
-    columns = [F.coalesce(F.col("_changed.t"), body).alias(text) if c == text else F.col(f"`{c}`") for c in df.columns if c != count]
+    changed = fresh("_changed", df.columns)
+    done = df.withColumn(changed, F.when(likely, rebuilt))
+    columns = [F.coalesce(F.col(changed)["t"], body).alias(text) if c == text else F.col(f"`{c}`") for c in df.columns if c != count]
     if count:
-        columns.append(F.coalesce(F.col("_changed.n"), F.lit(0)).cast("long").alias(count))
+        columns.append(F.coalesce(F.col(changed)["n"], F.lit(0)).cast("long").alias(count))
     return done.select(*columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import fresh
+
 #: Hex digits of a digest that the join uses.
 PREFIX = 8
 
@@ -54,6 +56,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     """
     rest = [F.col(f"`{c}`") for c in df.columns if c not in ("host", "path", "rule", "verdict")]
     host, path = split_url(F.col(f"`{url}`"))
+    key, won = fresh("_url", df.columns), fresh("_best", df.columns)
     places = df.filter(F.col(f"`{url}`").isNotNull()).select(F.col(f"`{url}`").alias("_url")).distinct().select("_url", *(c.alias(n) for c, n in zip(split_url(F.col("_url")), ("_host", "_path"), strict=True)))
     labels = F.split("_host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -64,6 +67,6 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     listed = rules_table(rules)
     met = digests.join(listed, digests["_prefix"] == listed["prefix"]).filter((F.col("_digest") == F.col("digest")) & F.col("_path").startswith(F.col("rule_path")) & (F.col("_suffix") == F.col("rule_host")))
     order = F.struct(F.length("rule").alias("n"), F.length("rule_host").alias("h"), F.col("rule"), F.col("verdict"))
-    best = met.groupBy("_url").agg(F.max(order).alias("_best"))
+    best = met.groupBy(F.col("_url").alias(key)).agg(F.max(order).alias(won))
     sent = df.select(*rest, host.alias("host"), path.alias("path"))
-    return sent.join(best, F.col(f"`{url}`") == F.col("_url"), "left").select(*[F.col(f"`{c}`") for c in sent.columns], F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    return sent.join(best, F.col(f"`{url}`") == F.col(key), "left").select(*[F.col(f"`{c}`") for c in sent.columns], F.col(won)["rule"].alias("rule"), F.coalesce(F.col(won)["verdict"], F.lit(default)).alias("verdict"))
