@@ -75,8 +75,23 @@ def test_blocks_equal_plain_window(spark):
 
 def test_number_all(spark):
     df = spark.range(0, 30_000, 3).repartition(7)
-    out = windows.number_all(df, "id", "n", buckets=16)
+    out = windows.number_all(df, "id", "n")
     assert out.where(F.col("n") != F.col("id") / 3 + 1).count() == 0 and out.count() == 10_000
+    rows = [(None, "x"), (3.5, "b"), (3.5, "a"), (-1.0, None), (float("inf"), "z")]
+    two = windows.number_all(spark.createDataFrame(rows, "v double, k string"), [F.col("v").desc(), "k"], "n")
+    assert [r["k"] for r in two.orderBy("n").collect()] == ["z", "a", "b", None, "x"] and [r["n"] for r in two.orderBy("n").collect()] == [1, 2, 3, 4, 5]
+    assert windows.number_all(df.limit(0), "id", "n").count() == 0
+
+
+def test_distinct_values_are_counted_up_to_a_bound(spark):
+    from tidewatch.operators import analytics
+
+    df = spark.range(5000).select((F.col("id") % 3).alias("three"), F.col("id").alias("many"), F.lit(None).cast("string").alias("none"), (F.col("id") % 21).cast("string").alias("over"), F.when(F.col("id") == 7, "x").alias("one"))
+    got = {r["column_name"]: r["n"] for r in analytics.bounded_distinct(df.repartition(5), df.columns, 20).collect()}
+    assert got == {"three": 3, "many": 21, "over": 21, "one": 1}
+    gate = analytics.cardinality_gate(df, ["many", "none", "gone", "over", "three", "one"])
+    assert gate.first().asDict() == {"chosen": "three", "many": 21, "none": 0, "over": 21, "three": 3, "one": 1}
+    assert "Expand" not in gate._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dedup_keeps_the_largest(spark):

@@ -179,7 +179,7 @@ REVENUE_WORDS = ("revenue", "sales", "amount")
 KPI_REVENUE_WORDS = ("revenue", "sales", "amount", "total", "value", "auto_revenue")
 KPI_ORDER_WORDS = ("order", "count", "qty")
 # Characters dropped before a text cell is read as a number.
-NUMERIC_NOISE = "₹$€£,% \t\n\r\f\v"
+NUMERIC_NOISE = "₹$€£,% \t\n\r\f\v\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # Upper bounds of the run-duration histogram, in seconds.
 DURATION_BOUNDS = (1, 5, 10, 30, 60, 120, 300)

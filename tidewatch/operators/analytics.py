@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -230,10 +231,32 @@ def heal_counts(log: DataFrame) -> DataFrame:
     )
 
 
+def bounded_distinct(df: DataFrame, columns: Sequence[str], most: int) -> DataFrame:
+    """(column_name, n): distinct non-null values of each column, counted up to ``most`` + 1.
+
+    One scan of the columns. Each task keeps a set per column that stops growing at ``most`` + 1 values and drops what is
+    then full from its scan; the sets of all tasks, at most ``most`` + 1 short rows each, are merged by one aggregation. Long
+    texts are kept as hashes. No row is copied per column.
+    """
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[set] = [set() for _ in columns]
+        for batch in batches:
+            for own, values in zip(seen, batch.columns, strict=True):
+                if len(own) <= most:
+                    own.update(values.drop_null().unique().slice(0, 2 * most + 2).to_pylist())
+        rows = [(c, v) for c, own in zip(columns, seen, strict=True) for v in list(own)[: most + 1]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["column_name", "value"])
+
+    hashed = df.select(*[F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(columns)])
+    found = hashed.mapInArrow(sets, "column_name string, value long")
+    return found.distinct().groupBy("column_name").agg(F.least(F.count(F.lit(1)), F.lit(most + 1)).alias("n"))
+
+
 def cardinality_gate(df: DataFrame, candidates: Sequence[str], most: int = 20) -> DataFrame:
-    """First candidate with more than one and at most ``most`` distinct values; NULL if none."""
+    """First candidate with more than one and at most ``most`` distinct values; NULL if none. Counts stop at ``most`` + 1."""
     present = [c for c in candidates if c in df.columns]
-    counted = df.agg(*[F.count_distinct(c).alias(c) for c in present])
+    n = lambda c: F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("n"))), F.lit(0)).alias(c)
+    counted = bounded_distinct(df, present, most).agg(*[n(c) for c in present])
     fits = [F.when((F.col(c) > 1) & (F.col(c) <= most), F.lit(c)) for c in present]
     return counted.select(F.coalesce(*fits, F.lit(None).cast("string")).alias("chosen"), *present)
 

@@ -51,7 +51,7 @@ def parse_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     parsed = df.select(*columns, *[S.clean_numeric(c).alias(f"_n{i}") for i, c in enumerate(columns)])
     parts = []
     for i, c in enumerate(columns):
-        time = F.when(F.col(f"_n{i}").isNull(), F.col(c).try_cast("timestamp"))
+        time = F.when(F.col(f"_n{i}").isNull(), dated(c))
         parts.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -64,6 +64,11 @@ def parse_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return wide.select(F.explode(F.array(*columns)).alias("p")).select("p.*")
 
 
+def dated(c: str) -> Column:
+    """Time in a text cell that begins with a date; a time of day alone, which a cast would place on today, is none."""
+    return F.when(F.col(c).rlike(r"^\s*[+-]?[0-9]{4,}-"), F.col(c).try_cast("timestamp"))
+
+
 def _text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
@@ -84,7 +89,7 @@ def typed(df: DataFrame, least: float = 0.5) -> tuple[DataFrame, dict[str, str]]
         elif r["has_digit"] and (r["numeric_rate"] or 0.0) > least:
             out[f.name], kinds[f.name] = S.clean_numeric(f.name), "numeric"
         elif (r["time_rate"] or 0.0) > least:
-            out[f.name], kinds[f.name] = F.col(f.name).try_cast("timestamp"), "date"
+            out[f.name], kinds[f.name] = dated(f.name), "date"
         else:
             kinds[f.name] = "categorical"
     return (df.withColumns(out) if out else df), kinds

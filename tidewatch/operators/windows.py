@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import Settings
 from tidewatch.functions.scalars import finite
+from tidewatch.session import stored
 
 GROUP = ("region", "category")
 
@@ -164,25 +165,29 @@ def number_rows(top: DataFrame, order: Sequence[Column], name: str = "position")
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
-def number_all(df: DataFrame, order_by: str, name: str = "position", buckets: int = 200) -> DataFrame:
-    """1..n over a whole table in the order of a numeric, mostly unique column.
+_PART = 1 << 33
 
-    Approximate quantiles cut the column's range into buckets of like size (one
-    small job). Rows are numbered inside their bucket and shifted by the counts
-    of the buckets before, so no task sorts more than a bucket.
+
+def placed(df: DataFrame, order: Sequence[str | Column], at: str = "_at") -> DataFrame:
+    """The frame range-sorted by ``order``, with each row's place in the whole table, from 0 on, in ``at``.
+
+    Rows are cut into ranges that follow the data (as many as their size asks for), sorted within, and written once with
+    their range and place in it. The ranges' counts, one row each, are added up and give each range its start. No task sees
+    more than its range; ties are cut by content only if ``order`` tells them apart.
     """
-    spots = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.approx_percentile(F.col(order_by).cast("double"), spots, 10 * buckets)).first()[0]
-    edges = F.array(*[F.lit(x) for x in sorted(set(cuts or []))])
-    value = F.col(order_by).cast("double")
-    bucketed = df.withColumn("_bucket", F.size(F.filter(edges, lambda e: e <= value)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most ``buckets`` rows are summed up here.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_bucket").orderBy(order_by)
-    placed = bucketed.withColumn("_i", F.row_number().over(inside)).join(starts, "_bucket")
-    return placed.withColumn(name, F.col("_start") + F.col("_i")).drop("_bucket", "_i", "_start")
+    row = F.monotonically_increasing_id()
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", row)
+    cut = stored(cut.withColumns({"_part": F.floor(F.col("_row") / _PART), "_inside": F.col("_row") % _PART}).drop("_row"), "placed")
+    sizes = cut.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return cut.join(starts, "_part").withColumn(at, F.col("_start") + F.col("_inside")).drop("_part", "_inside", "_start")
+
+
+def number_all(df: DataFrame, order_by: str | Column | Sequence[str | Column], name: str = "position") -> DataFrame:
+    """1..n over a whole table in any order, nulls first as in a sort. One range sort; see :func:`placed`."""
+    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    return placed(df, order, "_place").withColumn(name, F.col("_place") + 1).drop("_place")
 
 
 # -- top-k -----------------------------------------------------------------------------

@@ -62,6 +62,21 @@ def read_csv_any(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt"
+
+
+def read_csv_rescued(spark: SparkSession, path: str) -> DataFrame:
+    """Any CSV with a header, each line that does not fit the header as a whole in ``_corrupt`` (NULL for the others).
+
+    A line with too few or too many cells is kept, not cut or padded silently. Files
+    whose headers differ from the first one's are an error.
+    """
+    header = read_csv_any(spark, path).schema
+    schema = T.StructType([*header.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
 def read_alert_log(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines alert log; malformed lines are skipped."""
     return spark.read.schema(schemas.ALERT).option("mode", "DROPMALFORMED").json(path)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import profile
-from tidewatch.session import stored
-from tidewatch.sources import adapters
+from tidewatch.operators import anomaly, profile
+from tidewatch.session import stored, workspace
+from tidewatch.sources import adapters, readers
 from workload import fragments as q
 from workload.registry import query, r4, ts
 
@@ -85,3 +85,24 @@ def csv_to_kpi(spark, sf):
     df, p = profile.process(adapters.order_csv(spark, sf))
     k = profile.to_kpi(df, p)
     return k.select(ts("snapshot_ts"), "region", "category", *r4("total_revenue", "total_orders"), "return_rate")
+
+
+@query("csv_file_anomalies", f"""
+with good as (select * from orders where o_orderstatus <> 'P'), s as (select avg(o_totalprice) as m, stddev_samp(o_totalprice) as sd, count(*) as n from good)
+select 'outlier' as kind, {q.n4('o_totalprice')} as metric_value, {q.n4('(o_totalprice - m) / sd')} as z_score, count(*) as n from good, s where abs((o_totalprice - m) / sd) > 2.5 group by o_totalprice, m, sd
+union all select 'rescued', null, null, count(*) from orders where o_orderstatus = 'P'""")
+def csv_file_anomalies(spark, sf):
+    """Orders written as an untidy CSV file, pending ones with a cell too many: read back, typed, outliers flagged, broken lines kept apart."""
+    o = adapters.table(spark, sf, "orders")
+    extra = F.when(F.col("o_orderstatus") == "P", ", late").otherwise("")
+    untidy = o.select(F.col("o_orderkey").alias(" Order Key"), F.concat(F.lit("$"), F.col("o_totalprice").cast("decimal(18,2)")).alias("Total Price "), F.concat("o_orderpriority", extra).alias("Priority"))
+    path = workspace(spark, "untidy-csv")
+    untidy.write.option("header", True).option("quote", "").csv(path)
+    rows = stored(readers.read_csv_rescued(spark, path), "csv-rescued")
+    good = rows.where(F.col(readers.CORRUPT).isNull()).drop(readers.CORRUPT)
+    df, _ = profile.process(good)
+    cells = anomaly.column_outliers(df, ["total_price"], ["priority"], "sales").groupBy("metric_value", "z_score").agg(F.count(F.lit(1)).alias("n"))
+    found = cells.select(F.lit("outlier").alias("kind"), *r4("metric_value", "z_score"), "n")
+    broken = rows.where(F.col(readers.CORRUPT).isNotNull()).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("double")
+    return found.unionByName(broken.select(F.lit("rescued").alias("kind"), none.alias("metric_value"), none.alias("z_score"), "n"))
