@@ -26,10 +26,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the largest doc_id."""
-    kept = dedup.find_copies(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    """One document of each group of equal texts: the one with the largest doc_id. Of rows that repeat doc_id and text, the one with the smallest other columns."""
+    kept = dedup.find_copies(docs).filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count("*").alias("_n"))
+    kept = stored(kept, "pipeline-kept")
     body = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (body == F.col("_sha")), "left_semi")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (body == F.col("_sha"))
+    single = docs.select(*COLUMNS).join(kept.filter("_n = 1"), same, "left_semi")
+    repeated = kept.filter("_n > 1")
+    if repeated.isEmpty():
+        return single
+    one = docs.select(*COLUMNS).join(repeated, same).groupBy("_id", "_sha").agg(F.min(F.struct("lang", "source", "n_chars", "doc_id", "text")).alias("_row"))
+    return single.unionByName(one.select(*[F.col(f"_row.{c}").alias(c) for c in COLUMNS]))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
