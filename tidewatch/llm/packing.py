@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import pieces, running_total, texts, utf8
+from tidewatch.llm.common import pieces, running_total, utf8
 from tidewatch.session import stored
 
 #: Dimensions of the curve, bits of each, features that ids are hashed to.
 AXES, BITS, FEATURES = 3, 16, 1024
-_CHUNK = re.compile(r"[^ \t\n\v\f\r]+")
 _MARKS = ".,;:!?"
 #: Stands between chunks that are encoded together.
 _MARK = "\u241e"
@@ -40,17 +39,11 @@ def _tokenizer(path: str, special: bool):
 
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_COMPOSED = re.compile("[\u0300-\U0010ffff]")
+#: All bytes but those that begin characters from U+0300 on, among which are those that letters may be composed with.
+_SIMPLE = bytes(range(0xCC))
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
-def _low(text: str) -> str:
-    """The text with A-Z in lower case, where that leaves the ids of a tokenizer that lower-cases as they are: not before characters that letters may be composed with."""
-    if text.isascii():
-        return text.lower()
-    return text if _COMPOSED.search(text) else text.encode().translate(_LOWER).decode()
-
-
 def _parts(chunk: str) -> tuple[str, ...]:
     """A chunk in the form in which it is remembered: ASCII in lower case, marks after a letter or digit apart; both give the same ids."""
     low = chunk.lower() if chunk.isascii() else chunk
@@ -63,8 +56,10 @@ class Chunks:
 
     def __init__(self, path: str, special: bool):
         self.tokenizer, self.added = _tokenizer(path, special)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        tokens = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.hints = {re.match(r"[^A-Za-z]*", t)[0].encode() for t in tokens}
         alone, apart = (self._alone([x])[0] for x in (_MARK, f"a {_MARK} a"))
         self.mark = np.frombuffer(alone, dtype=np.uint32)
         self.joins = len(alone) > 0 and apart == self._alone(["a"])[0] + alone + self._alone(["a"])[0]
@@ -120,32 +115,40 @@ class Chunks:
             found.update(zip(rest[start : start + 20_000], self._alone(rest[start : start + 20_000]), strict=True))
         return [found[f] for f in forms]
 
-    def of(self, wanted: set[str]) -> dict[str, bytes]:
+    def split(self, text: bytes) -> list[bytes]:
+        """The chunks of a text. A-Z become lower case where that leaves the ids of a tokenizer that lower-cases as they are: not in texts with special tokens or with characters that letters may be composed with."""
+        if any(h in text for h in self.hints) and self.added.search(text.decode("utf-8", "replace")):
+            return text.split()
+        return (text if text.translate(None, _SIMPLE) else text.translate(_LOWER)).split()
+
+    def of(self, wanted: set[bytes]) -> dict[bytes, bytes]:
         """The ids of distinct chunks: looked up as they stand, then by their reduced forms; forms that are not known go to the tokenizer together."""
         if len(self.young) >= CHUNKS_KEPT:
             self.young, self.old = {}, self.young
-        young, get, get_old, plain = self.young, self.young.get, self.old.get, _PLAIN.fullmatch
-        ids = {c: get(c) for c in wanted}
-        slow: dict[str, tuple[str, ...]] = {}
+        young, get, get_old = self.young, self.young.get, self.old.get
+        listed = list(wanted)
+        ids = dict(zip(listed, map(get, listed), strict=True))
+        slow: dict[bytes, tuple[str, ...]] = {}
         new: dict[str, bytes | None] = {}
         for chunk in [c for c, found in ids.items() if found is None]:
             found = get_old(chunk)
             if found is not None:
                 ids[chunk] = young[chunk] = found
-            elif plain(chunk):
-                new[chunk] = None
-            else:
-                slow[chunk] = parts = (chunk,) if self.added is not None and self.added.search(chunk) else _parts(chunk)
-                for form in parts:
-                    if form not in new:
-                        new[form] = get(form) or get_old(form)
+                continue
+            text = chunk.decode("utf-8", "replace")
+            slow[chunk] = parts = (text,) if self.added is not None and self.added.search(text) else _parts(text)
+            for form in parts:
+                if form not in new:
+                    raw = form.encode()
+                    new[form] = None if raw == chunk else get(raw) or get_old(raw)
         unknown = [form for form, known in new.items() if known is None]
         coded = dict(zip(unknown, self._coded(unknown), strict=True))
         new.update(coded)
-        ids.update((c, new[c]) for c in coded.keys() & ids.keys())
+        young.update((f.encode(), found) for f, found in coded.items() if len(f) <= 64)
         for chunk, parts in slow.items():
-            ids[chunk] = coded[chunk] = new[parts[0]] if len(parts) == 1 else b"".join([new[form] for form in parts])
-        young.update((c, found) for c, found in coded.items() if len(c) <= 64)
+            ids[chunk] = found = new[parts[0]] if len(parts) == 1 else b"".join([new[form] for form in parts])
+            if len(chunk) <= 64:
+                young[chunk] = found
         return ids
 
 
@@ -154,16 +157,16 @@ def _chunks(path: str, special: bool) -> Chunks:
     return Chunks(path, special)
 
 
-def encode_texts(values: list[str], path: str, special: bool = True) -> list[np.ndarray]:
-    """Ids of texts by a tokenizer that lower-cases, and for which white space only separates: chunks between blanks are encoded once and remembered.
+def encode_texts(values: list[str | bytes], path: str, special: bool = True) -> list[np.ndarray]:
+    """Ids of texts, given as such or in UTF-8, by a tokenizer that lower-cases, and for which white space only separates: chunks between blanks are encoded once and remembered.
 
     With `special`, special tokens written out in a text are their one id; chunks that hold one, in any case, are encoded
-    as they stand.
+    as they stand. Malformed bytes count as U+FFFD.
     """
     chunks = _chunks(path, special)
-    split = [_CHUNK.findall(text if chunks.added is not None and chunks.added.search(text) else _low(text)) for text in values]
-    ids = chunks.of(set().union(*split))
-    return [np.frombuffer(b"".join([ids[c] for c in parts]), dtype=np.uint32).astype(np.int64) for parts in split]
+    split = [chunks.split(text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text) for text in values]
+    get = chunks.of(set().union(*split)).__getitem__
+    return [np.frombuffer(b"".join(map(get, parts)), dtype=np.uint32).astype(np.int64) for parts in split]
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -227,7 +230,7 @@ def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str =
         projection = Projection()
         for whole in batches:
             for batch in pieces(whole, "_text", 4 << 20):
-                found = encode_texts(texts(batch, "_text"), path, special)
+                found = encode_texts(batch.column("_text").to_pylist(), path, special)
                 places = hilbert(np.array([projection.point(ids) for ids in found]).reshape(len(found), AXES))
                 found = [np.append(ids, end) for ids in found]
                 wide = [ids.max() >= 1 << 16 for ids in found]
