@@ -137,7 +137,6 @@ def test_hilbert_curve_visits_all_cells_in_steps_of_one(bits):
 
 def pieces_fit(rows: list, texts: list[tuple[int, str | None]], length: int) -> None:
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     wanted = sorted((doc, [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]) for doc, text in texts)
     by: dict[int, list] = {}
     for r in rows:
