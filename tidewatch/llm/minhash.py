@@ -28,18 +28,21 @@ FEW, BLOCK, BLOCK_SHINGLES = 16, 512, 4_000_000
 
 
 @lru_cache(maxsize=1)
-def _hashes() -> tuple[np.ndarray, np.ndarray]:
+def _factors() -> np.ndarray:
+    """Odd factors: multiplying by one permutes all 64-bit numbers."""
     random = np.random.Generator(np.random.PCG64(11))
-    return random.integers(1 << 63, size=MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1), random.integers(1 << 63, size=MINIMA, dtype=np.uint64)
+    return random.integers(1 << 63, size=(MINIMA, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minima(shingles: np.ndarray, step: int = 2048) -> np.ndarray:
-    """Smallest value of a non-empty set of 64-bit hashes under each of MINIMA permutations, a long set in steps."""
-    factor, shift = _hashes()
+def minima(shingles: np.ndarray, step: int = 256) -> np.ndarray:
+    """Smallest value of a non-empty set of 64-bit hashes under each of MINIMA permutations, some hashes at a time so that products stay in the cache."""
+    factors = _factors()
+    products = np.empty((MINIMA, min(step, len(shingles))), dtype=np.uint64)
     out = np.full(MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
     for start in range(0, len(shingles), step):
         part = shingles[start : start + step]
-        np.minimum(out, (factor[:, None] * part[None, :] + shift[:, None]).min(axis=1), out=out)
+        here = np.multiply(factors, part, out=products[:, : len(part)])
+        np.minimum(out, here.min(axis=1), out=out)
     return out
 
 
