@@ -75,11 +75,12 @@ def alert_title(sev, region, category, metric, z) -> Column:
     )
 
 
-def alert_body(detected_at, value, expected, assessment) -> Column:
+def alert_body(detected_at, value, expected, assessment, most_chars: int = 300) -> Column:
+    """Body of an alert; of the assessment its first ``most_chars`` characters."""
     return F.concat(
         F.lit("Detected at "), col(detected_at).cast("string"), F.lit(".\nValue: "), col(value).cast("string"),
         F.lit(" (expected "), col(expected).cast("string"), F.lit(").\nAgent assessment: "),
-        F.substring(F.coalesce(col(assessment), F.lit("")), 1, 300),
+        F.substring(F.coalesce(col(assessment), F.lit("")), 1, most_chars),
     )
 
 

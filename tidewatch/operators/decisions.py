@@ -15,6 +15,8 @@ from tidewatch.functions import text as X
 from tidewatch.operators import analytics
 
 TIES = ("metric_name", "region", "category")
+# Anomalies that a report lists, characters of an answer that become the action.
+LISTED, ACTION_CHARS = 5, 300
 
 
 def _order() -> list[Column]:
@@ -56,10 +58,10 @@ def _totals(anomalies: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _state(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Counts, top five and KPI baseline of every group in one row: all reports are written from it."""
+def _state(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str], most: int) -> DataFrame:
+    """Counts, the strongest few and KPI baseline of every group in one row: all reports are written from it."""
     totals = _totals(anomalies, by)
-    top = _top_list(anomalies, by, 5)
+    top = _top_list(anomalies, by, most)
     joined = totals.join(top, list(by)) if by else _side_by_side(totals, top, ["top"])
     base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
     # Lambdas cannot hold a subquery, so the baselines become columns.
@@ -176,20 +178,20 @@ def verdict(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Detection report over the five strongest anomalies, with its confidence."""
-    state = _state(anomalies, kpi, by)
+def analyst(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = (), most: int = LISTED) -> DataFrame:
+    """Detection report over the ``most`` strongest anomalies, with its confidence; its counts are of all."""
+    state = _state(anomalies, kpi, by, most)
     return state.select(*by, _analyst_text().alias("analyst_output"), _analyst_confidence().alias("confidence"))
 
 
-def causal_report(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Effect report: the five strongest anomalies, each metric once."""
-    return _state(anomalies, kpi, by).select(*by, _causal_text().alias("causal_output"))
+def causal_report(anomalies: DataFrame, kpi: DataFrame, by: Sequence[str] = (), most: int = LISTED) -> DataFrame:
+    """Effect report: the ``most`` strongest anomalies, each metric once."""
+    return _state(anomalies, kpi, by, most).select(*by, _causal_text().alias("causal_output"))
 
 
-def council(kpi: DataFrame, anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Detection report, effect report and verdict as one record per group."""
-    state = _judged(_state(anomalies, kpi, by)).withColumn("confidence", _analyst_confidence())
+def council(kpi: DataFrame, anomalies: DataFrame, by: Sequence[str] = (), most: int = LISTED) -> DataFrame:
+    """Detection report, effect report and verdict as one record per group; the reports list the ``most`` strongest anomalies, verdict and counts are of all."""
+    state = _judged(_state(anomalies, kpi, by, most)).withColumn("confidence", _analyst_confidence())
     return state.select(
         *by, "n_anomalies", "n_critical", "n_high", "n_medium", "max_z", "priority", "verdict", "final_action", "confidence",
         _analyst_text().alias("analyst_output"), _causal_text().alias("causal_output"),
@@ -205,8 +207,8 @@ def prompt_table(anomalies: DataFrame) -> DataFrame:
     return anomalies.withColumn("prompt", X.anomaly_context())
 
 
-def council_prompt(kpi: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """One question over the KPI means and the five strongest anomalies."""
+def council_prompt(kpi: DataFrame, anomalies: DataFrame, most: int = LISTED) -> DataFrame:
+    """One question over the KPI means and the ``most`` strongest anomalies."""
     base = analytics.kpi_baseline(kpi).select(F.struct("*").alias("b")).scalar()
     n = anomalies.agg(F.count(F.lit(1))).scalar()
     kpi_lines = F.concat_ws(
@@ -221,7 +223,7 @@ def council_prompt(kpi: DataFrame, anomalies: DataFrame) -> DataFrame:
             F.lit(", severity="), F.coalesce(e["severity"], F.lit("?")),
         )
 
-    top = _top_list(anomalies, (), 5)
+    top = _top_list(anomalies, (), most)
     listed = F.array_join(F.transform("top", line), "\n")
     found = F.when(F.size("top") > 0, listed).otherwise(F.lit("No anomalies detected."))
     return top.select(
@@ -299,11 +301,12 @@ def append_round(history: str | Column, agent: str, rnd: int, content: Column) -
     return F.concat(S.col(history), F.array(added))
 
 
-def map_agent_result(results: DataFrame, max_z: str | Column = "max_z") -> DataFrame:
+def map_agent_result(results: DataFrame, max_z: str | Column = "max_z", action_chars: int = ACTION_CHARS) -> DataFrame:
     """External agent answers in the form of a council record.
 
     Either naming of the answers is accepted; empty texts get a notice,
-    priority comes from key words, confidence from the largest z.
+    priority comes from key words, confidence from the largest z. An answer without
+    an action of its own gives its first ``action_chars`` characters.
     """
 
     def text(*names: str) -> Column:
@@ -323,7 +326,7 @@ def map_agent_result(results: DataFrame, max_z: str | Column = "max_z") -> DataF
         or_else(text("business_report", "causal_output"), "Agent did not return causal output.").alias("causal_output"),
         or_else(decision, "Agent did not return a decision.").alias("decision_output"),
         S.confidence(F.coalesce(S.col(max_z), F.lit(0.0)), fv.CONFIDENCE_PARSED).alias("confidence"),
-        F.coalesce(given, F.substring(decision, 1, 300)).alias("final_action"),
+        F.coalesce(given, F.substring(decision, 1, action_chars)).alias("final_action"),
         S.priority_from_keywords(decision).alias("priority"),
         F.lit(True).alias("completed"),
     )

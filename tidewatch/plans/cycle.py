@@ -20,12 +20,13 @@ from tidewatch.session import checkpoint_dir, prepare, remove_path, stored
 from tidewatch.sources import readers, sinks
 
 
-def findings_for(orders: DataFrame, events: DataFrame | None, period: str = "hour", types: Sequence[str] = (), settings: Settings = Settings()) -> DataFrame:
-    """Best cause of every region and category from its bucketed features: effects with all other features held fixed, plain slopes where these are not known."""
+def findings_for(orders: DataFrame, events: DataFrame | None, period: str = "hour", types: Sequence[str] = (), settings: Settings = Settings(), adjusted: bool = True) -> DataFrame:
+    """Best cause of every region and category from its bucketed features: effects with all other features held fixed, plain slopes where these are not known, or everywhere if not ``adjusted``."""
     features = kpi_ops.order_features(orders, period)
     if events is not None and types:
         features = kpi_ops.join_event_features(features, kpi_ops.event_features(events, types, period))
-    return causal.best_cause(causal.adjusted_findings(features, settings=settings))
+    found = causal.adjusted_findings if adjusted else causal.ols_findings
+    return causal.best_cause(found(features, settings=settings))
 
 
 def decide(anomalies: DataFrame, findings: DataFrame, kpi: DataFrame, settings: Settings = Settings(), limit: int | None = None) -> DataFrame:

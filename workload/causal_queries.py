@@ -105,7 +105,7 @@ from anom a left join (select * from best where rn = 1) b on a.region = b.region
 def attach_findings(spark, sf):
     """Every anomaly with the cause of its group, in one join."""
     orders = adapters.raw_orders(spark, sf)
-    j = causal.attach_findings(anomalies(spark, sf), cycle.findings_for(orders, None, "month"))
+    j = causal.attach_findings(anomalies(spark, sf), cycle.findings_for(orders, None, "month", adjusted=False))
     return j.select(
         "metric_name", *BY, ts("window_end"), "cause_variable", "effect_variable", *r4("ate"), *r6("confidence"), "method"
     )
