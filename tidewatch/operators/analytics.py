@@ -252,11 +252,14 @@ def bounded_distinct(df: DataFrame, columns: Sequence[str], most: int) -> DataFr
     return found.distinct().groupBy("column_name").agg(F.least(F.count(F.lit(1)), F.lit(most + 1)).alias("n"))
 
 
-def cardinality_gate(df: DataFrame, candidates: Sequence[str], most: int = 20) -> DataFrame:
-    """First candidate with more than one and at most ``most`` distinct values; NULL if none. Counts stop at ``most`` + 1."""
+def cardinality_gate(df: DataFrame, candidates: Sequence[str], most: int = 20, exact: bool = False) -> DataFrame:
+    """First candidate with more than one and at most ``most`` distinct values; NULL if none. Counts stop at ``most`` + 1, unless ``exact``."""
     present = [c for c in candidates if c in df.columns]
     n = lambda c: F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("n"))), F.lit(0)).alias(c)
-    counted = bounded_distinct(df, present, most).agg(*[n(c) for c in present])
+    if exact:
+        counted = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in present])
+    else:
+        counted = bounded_distinct(df, present, most).agg(*[n(c) for c in present])
     fits = [F.when((F.col(c) > 1) & (F.col(c) <= most), F.lit(c)) for c in present]
     return counted.select(F.coalesce(*fits, F.lit(None).cast("string")).alias("chosen"), *present)
 

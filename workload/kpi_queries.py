@@ -335,11 +335,11 @@ def z_histogram(spark, sf):
 
 
 @query("cardinality_gate", f"""
-with {q.RAW}, c as (select least(count(distinct product_id), 21) as product_id, least(count(distinct region), 21) as region, least(count(distinct category), 21) as category from raw)
+with {q.RAW}, c as (select count(distinct product_id) as product_id, count(distinct region) as region, count(distinct category) as category from raw)
 select case when product_id > 1 and product_id <= 20 then 'product_id' when region > 1 and region <= 20 then 'region'
             when category > 1 and category <= 20 then 'category' end as chosen, product_id, region, category from c""")
 def cardinality_gate(spark, sf):
-    return analytics.cardinality_gate(adapters.raw_orders(spark, sf), ["product_id", "missing", "region", "category"])
+    return analytics.cardinality_gate(adapters.raw_orders(spark, sf), ["product_id", "missing", "region", "category"], exact=True)
 
 
 @query("distinct_values", "select distinct event_type from events where event_type is not null")
