@@ -160,6 +160,7 @@ PAYMENT_METHODS = ("credit_card", "debit_card", "paypal", "crypto", "bank_transf
 KPI_PERIODS = ("hourly", "daily")
 #: Rows that a checked table may have at most. Nothing is cut there: all rows are counted and checked.
 MOST_ORDERS = 10_000_000
+MOST_SNAPSHOTS = 5_000_000
 SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 
 # Column-name words that tell what a dataset is about, first match wins.
