@@ -15,10 +15,20 @@ from tidewatch.session import prepare, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 PSEUDONYM_KEY = "corpus-release-1"
+#: Rows of an Arrow batch. Spark and Python hold a batch of whole texts several times over, in each task at once.
+BATCH_ROWS = 1000
+#: Chunks of text whose ids a Python worker keeps in each of two generations, some 40 MB each. Other stages run in the same workers.
+CHUNKS_KEPT = 150_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's batch size for the stages with Python; it bounds memory, not results."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a letter. Those without, and null texts, have no language and go. `lang` becomes the predicted one where it is null."""
+    small_batches(spark)
     prototypes = langid.fit(docs.filter(~langid.held_out()))
     said = langid.predict(docs.select(*COLUMNS), prototypes, lang_pred="_lang", score="_score")
     known = F.col("_lang") != langid.UNKNOWN if prototypes else F.col("text").rlike(r"\p{L}")
@@ -27,6 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the largest doc_id. Of rows that repeat doc_id and text, the one with the smallest other columns."""
+    small_batches(spark)
     kept = dedup.find_copies(docs).filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count("*").alias("_n"))
     kept = stored(kept, "pipeline-kept")
     body = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -41,6 +52,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest doc_id. Five-word shingles, similarity 0.8 or more."""
+    small_batches(spark)
     found = jaccard.near_components(docs, 5, 80)
     gone = found.filter("component_id < doc_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -54,7 +66,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048 along a Hilbert curve."""
-    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    small_batches(spark)
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), kept=CHUNKS_KEPT, lasting=False)
     return found.select("doc_id", F.col("piece_start").alias("start"), F.col("piece_length").alias("length"), F.crc32("piece_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.test_documents import brute_components
-from tidewatch.llm import pii
+from tidewatch.llm import packing, pii
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string"
 PROSE = "the shop at the corner sells bread and milk to all who come in before noon on a cold winter day and stays shut later"
@@ -95,3 +95,33 @@ def test_stages_on_an_empty_table(spark, sf, tmp_path):
 def test_run_gives_the_last_stage(spark, sf):
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and {r.sequence_id for r in rows} == set(range(max(r.sequence_id for r in rows) + 1))
+
+
+def test_stages_set_small_batches(spark):
+    """Spark and Python hold several copies of a batch of whole texts in each task."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.createDataFrame([(1, "some words", "en", "s", 10)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        for stage in (corpus_pipeline.language, corpus_pipeline.exact_copies, corpus_pipeline.near_copies, corpus_pipeline.sequences):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+            stage(spark, docs, "")
+            assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(corpus_pipeline.BATCH_ROWS)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_sequences_leave_no_chunks_in_the_workers(spark):
+    """The chunks that are kept are bounded, forgotten after the ids are stored, and have no say in the result."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"word{i * 50 + k}x" for k in range(50)) for i in range(40)]
+    packing.forget()
+    small = [packing.encode_texts([t], path, kept=200)[0].tolist() for t in texts]
+    held = packing._chunks(path, True, 200)
+    assert len(held.young) <= 300 and len(held.old) <= 300
+    assert small == [x.tolist() for x in packing.encode_texts(texts, path)]
+    packing.forget()
+    assert packing._chunks.cache_info().currsize == packing._tokenizer.cache_info().currsize == 0
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = lambda **how: sorted(map(tuple, packing.pack(df, path, **how).collect()))
+    assert rows(kept=200, lasting=False) == rows()

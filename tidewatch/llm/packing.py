@@ -54,7 +54,8 @@ def _parts(chunk: str) -> tuple[str, ...]:
 class Chunks:
     """Ids of chunks by one tokenizer, as bytes. Chunks not met since the last but one change of generation are forgotten."""
 
-    def __init__(self, path: str, special: bool):
+    def __init__(self, path: str, special: bool, kept: int | None = None):
+        self.kept = kept
         self.tokenizer, self.added = _tokenizer(path, special)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -123,7 +124,7 @@ class Chunks:
 
     def of(self, wanted: set[bytes]) -> dict[bytes, bytes]:
         """The ids of distinct chunks: looked up as they stand, then by their reduced forms; forms that are not known go to the tokenizer together."""
-        if len(self.young) >= CHUNKS_KEPT:
+        if len(self.young) >= (CHUNKS_KEPT if self.kept is None else self.kept):
             self.young, self.old = {}, self.young
         young, get, get_old = self.young, self.young.get, self.old.get
         listed = list(wanted)
@@ -153,17 +154,24 @@ class Chunks:
 
 
 @lru_cache(maxsize=2)
-def _chunks(path: str, special: bool) -> Chunks:
-    return Chunks(path, special)
+def _chunks(path: str, special: bool, kept: int | None = None) -> Chunks:
+    return Chunks(path, special, kept)
 
 
-def encode_texts(values: list[str | bytes], path: str, special: bool = True) -> list[np.ndarray]:
+def forget() -> None:
+    """Lets go of this Python worker's tokenizers and remembered chunks, and of what Arrow holds back for later. They come again when needed."""
+    _chunks.cache_clear()
+    _tokenizer.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
+def encode_texts(values: list[str | bytes], path: str, special: bool = True, kept: int | None = None) -> list[np.ndarray]:
     """Ids of texts, given as such or in UTF-8, by a tokenizer that lower-cases, and for which white space only separates: chunks between blanks are encoded once and remembered.
 
     With `special`, special tokens written out in a text are their one id; chunks that hold one, in any case, are encoded
-    as they stand. Malformed bytes count as U+FFFD.
+    as they stand. Malformed bytes count as U+FFFD. `kept` stands for CHUNKS_KEPT.
     """
-    chunks = _chunks(path, special)
+    chunks = _chunks(path, special, kept)
     split = [chunks.split(text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text) for text in values]
     get = chunks.of(set().union(*split)).__getitem__
     return [np.frombuffer(b"".join(map(get, parts)), dtype=np.uint32).astype(np.int64) for parts in split]
@@ -211,7 +219,7 @@ class Projection:
         return np.clip((0.5 + 0.5 * np.tanh(4 * mean)) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
-def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str = "text", doc_id: str = "doc_id", special: bool = True) -> DataFrame:
+def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str = "text", doc_id: str = "doc_id", special: bool = True, kept: int | None = None, lasting: bool = True) -> DataFrame:
     """Pieces (doc_id, piece_start, piece_length, piece_ids, doc_tokens, sequence_id, offset) of sequences of `length` tokens.
 
     A document is its ids by the tokenizers file `path` and then the id `end`; null and empty texts are that id alone.
@@ -221,6 +229,9 @@ def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str =
     little-endian unsigned numbers of 32 bits. Rows are kept apart even if they share a doc_id; a null doc_id stays null;
     equal places on the curve are ordered by hash. An empty table gives no pieces. Only the two named columns are read.
 
+    A Python worker remembers the ids of `kept` chunks (CHUNKS_KEPT, if None) in each of two generations. Workers are used
+    again by other jobs; without `lasting` they forget all as soon as the ids are stored. Neither changes the result.
+
     Ids are computed once and stored, 2 bytes each where they fit. Places come from a running total over the range-sorted
     (place, tokens) rows, without the ids, which are then joined to them: one shuffle of the ids.
     """
@@ -230,7 +241,7 @@ def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str =
         projection = Projection()
         for whole in batches:
             for batch in pieces(whole, "_text", 4 << 20):
-                found = encode_texts(batch.column("_text").to_pylist(), path, special)
+                found = encode_texts(batch.column("_text").to_pylist(), path, special, kept)
                 places = hilbert(np.array([projection.point(ids) for ids in found]).reshape(len(found), AXES))
                 found = [np.append(ids, end) for ids in found]
                 wide = [ids.max() >= 1 << 16 for ids in found]
@@ -244,6 +255,8 @@ def pack(df: DataFrame, path: str, length: int = 2048, end: int = 1, text: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "piece_start", "piece_length", "piece_ids", "doc_tokens", "sequence_id", "offset"]
+        if not lasting:
+            forget()
         for batch in batches:
             rows: list[tuple] = []
             held = 0
