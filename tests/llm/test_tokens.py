@@ -206,3 +206,26 @@ def test_special_tokens_in_texts_as_by_a_plain_call(spark, tmp_path):
     spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in queries.op7_packing(spark, str(tmp_path)).collect()}
     assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 1], dtype="<u4").tobytes())) for i, w in enumerate(wanted[: len(SPECIAL)])}
+
+
+def drawn(rnd: random.Random, letters: str, n: int) -> list[str]:
+    return ["".join(rnd.choice(letters) for _ in range(rnd.randrange(80))) for _ in range(n)]
+
+
+def test_latin_chunks_go_to_the_model_in_pieces(monkeypatch):
+    """Marks, digits, contractions and accents in any mixture have the ids of a plain call, without the whole tokenizer; other scripts and composed letters still go to it."""
+    plain, rnd, asked = Tokenizer.from_file(WORDS), random.Random(6), []
+    lines = packing.Chunks._lines
+    monkeypatch.setattr(packing.Chunks, "_lines", lambda self, forms, *more: asked.extend(forms) or lines(self, forms, *more))
+    latin = [*drawn(rnd, "aAstTreEvmlLdé ÉßÿÞx019''.,;:!?-_<|>&% ", 1500), *drawn(rnd, "".join(map(chr, range(32, 127))), 500), "+1 (716) 555-8176, it's we've!'s 'S", "x" * 300 + "," + "y" * 300 + " ab" * 99]
+    mixed = [*drawn(rnd, "aAstT'é ÉЖжΣσς\u0301\u0308日\u00a0’×÷K5.,\x1c", 1500), *SPECIAL, *[t or "" for t in ODD]]
+    for special in (True, False):
+        plain.encode_special_tokens = not special
+        packing.forget()
+        asked.clear()
+        for texts, beyond in ((latin, False), (mixed, True)):
+            wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+            assert [x.tolist() for x in packing.encode_texts(texts, WORDS, special)] == wanted
+            assert [packing.encode_texts([t], WORDS, special, kept=20)[0].tolist() for t in texts[:200]] == wanted[:200]
+            assert bool(asked) == beyond
+    packing.forget()
