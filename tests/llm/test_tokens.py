@@ -229,3 +229,10 @@ def test_latin_chunks_go_to_the_model_in_pieces(monkeypatch):
             assert [packing.encode_texts([t], WORDS, special, kept=20)[0].tolist() for t in texts[:200]] == wanted[:200]
             assert bool(asked) == beyond
     packing.forget()
+
+
+def test_marks_after_letters_that_end_in_a_combining_character():
+    """Such letters are one piece with the marks behind them once they are lower-cased or composed anew."""
+    plain = Tokenizer.from_file(WORDS)
+    texts = [f"{before}{letter}{mark} {letter}" for letter in "İ\u0958\u09dc\ufb1d\ufb2aЖж日" for before in ("", "A", "ж") for mark in (",", ".!", "")]
+    assert [x.tolist() for x in packing.encode_texts(texts, WORDS)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]

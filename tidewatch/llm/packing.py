@@ -7,6 +7,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +50,12 @@ _LONGEST = 64
 
 
 def _parts(chunk: str) -> tuple[str, ...]:
-    """A chunk in the form in which it is remembered: ASCII in lower case, marks after a letter or digit apart; both give the same ids."""
+    """A chunk in the form in which it is remembered: ASCII in lower case, marks after a letter or digit apart; both give the same ids. A letter that the tokenizer's normal form ends with a combining character is joined with marks."""
     low = chunk.lower() if chunk.isascii() else chunk
     core = low.rstrip(_MARKS)
-    return (core, low[len(core) :]) if core != low and core and core[-1].isalnum() else (low,)
+    if core == low or not core or not normalize("NFC", core[-1].lower())[-1].isalnum():
+        return (low,)
+    return core, low[len(core) :]
 
 
 class _Known(dict):
