@@ -236,3 +236,14 @@ def test_marks_after_letters_that_end_in_a_combining_character():
     plain = Tokenizer.from_file(WORDS)
     texts = [f"{before}{letter}{mark} {letter}" for letter in "İ\u0958\u09dc\ufb1d\ufb2aЖж日" for before in ("", "A", "ж") for mark in (",", ".!", "")]
     assert [x.tolist() for x in packing.encode_texts(texts, WORDS)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_query_has_the_workers_forget(spark, sf, monkeypatch):
+    """Workers that go on to other jobs do not hold the query's remembered chunks."""
+    pack, asked = packing.pack, {}
+    monkeypatch.setattr(packing, "pack", lambda *tables, **how: asked.update(how) or pack(*tables, **how))
+    rows = queries.op7_packing(spark, sf).collect()
+    assert asked["lasting"] is False
+    plain = Tokenizer.from_file(WORDS)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert sum(r.length for r in rows) == sum(len(plain.encode(t, add_special_tokens=False).ids) + 1 for t in texts.values())

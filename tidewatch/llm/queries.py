@@ -73,7 +73,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 ids along a Hilbert curve."""
-    found = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    found = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), lasting=False)
     return found.select("doc_id", F.col("piece_start").alias("start"), F.col("piece_length").alias("length"), F.crc32("piece_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
