@@ -114,6 +114,16 @@ def test_records_are_rounded_json(spark, tmp_path):
     assert json.loads(r["raw_context"]) == {"method": "zscore"}
 
 
+def test_effects_of_a_million_and_more_are_stored(spark, tmp_path):
+    # Revenue per unit of quantity grows with the orders of a bucket. Files of stores from before, with a narrower effect, are read beside the new ones.
+    path = f"{tmp_path}/causal_findings"
+    spark.sql("select 1L as anomaly_id, cast(947263.093245 as decimal(12, 6)) as ate").write.parquet(path)
+    found = spark.createDataFrame([(2, 2149603.9385651797), (3, -6948816.300298364), (4, 1.5e20), (5, 0.0000004)], "anomaly_id long, ate double")
+    assert sinks.write_findings(found, path) == 4
+    got = {r["anomaly_id"]: float(r["ate"]) for r in readers.read_table(spark, str(tmp_path), "causal_findings").collect()}
+    assert got == {1: 947263.093245, 2: 2149603.938565, 3: -6948816.300298, 4: 1.5e20, 5: 0.0}
+
+
 def test_every_table_schema_is_unique():
     for name, schema in schemas.TABLES.items():
         assert len(set(schema.names)) == len(schema.names), name

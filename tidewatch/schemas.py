@@ -56,7 +56,7 @@ TABLES: dict[str, T.StructType] = {
     ),
     "causal_findings": _struct(
         "finding_id bigint, anomaly_id bigint, analyzed_at timestamp, cause_variable string, "
-        "effect_variable string, ate decimal(12,6), confidence decimal(6,4), method string, "
+        "effect_variable string, ate decimal(38,6), confidence decimal(6,4), method string, "
         "explanation string, supporting_data string"
     ),
     "agent_decisions": _struct(
