@@ -415,6 +415,15 @@ def test_cycle(spark, tmp_path):
     assert not list(tmp_path.glob("*__staging*"))
 
 
+def test_cycle_with_effects_beyond_a_million(spark, tmp_path):
+    dear = orders(spark).withColumn("unit_price", F.col("unit_price") * 1_000_000)
+    report = cycle.run_cycle(spark, str(tmp_path), dear, events(spark), START + timedelta(hours=72), Settings(forest_trees=0), lookback_hours=72).first()
+    assert report["ingestion"]["status"] == "SUCCESS" and report["decisions"] == report["anomalies_found"] >= 1
+    listed = {r["anomaly_id"]: r["ate"] for r in spark.read.json(f"{tmp_path}/reports/{report['ingestion']['run_id']}/causal_findings").collect()}
+    kept = {r["anomaly_id"]: float(r["ate"]) for r in readers.read_table(spark, str(tmp_path), "causal_findings").collect()}
+    assert max(abs(v) for v in kept.values()) > 1e6 and kept == pytest.approx(listed, abs=1e-6)
+
+
 def dirty(spark, day: int = 0):
     """Orders with gaps in one of two days, an unknown column, and text where numbers belong."""
     o = orders(spark, 48).withColumn("order_ts", F.col("order_ts") + F.make_interval(days=F.lit(day)))
